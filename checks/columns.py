@@ -230,13 +230,13 @@ def _(d):
     "p25_coercion",
     """
 SELECT cicid, TRY_CAST(substr(i94port, 2) AS DOUBLE) AS number,
-       CAST(TRY_CAST(CONCAT('20', lpad(substr(i94port, 2), 2, '0'), '-01-31') AS DATE) AS VARCHAR) AS date
+       CAST(TRY_CAST(CONCAT(lpad(substr(i94port, 2), 2, '0'), '20-01-31') AS DATE) AS VARCHAR) AS date
 FROM arrivals
 """,
 )
 def _(d):
     digits = F.substring("i94port", 2, 10)
-    day = codes.to_date(F.concat(F.lit("20"), F.lpad(digits, 2, "0"), F.lit("-01-31")))
+    day = codes.to_date(F.concat(F.lpad(digits, 2, "0"), F.lit("20-01-31")))
     return texts(d.arrivals.select("cicid", codes.to_number(digits).alias("number"), day.alias("date")), "date")
 
 

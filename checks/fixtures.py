@@ -59,17 +59,26 @@ def arrivals_sql(day: str, visitor: str = "k") -> str:
     return _ARRIVALS.format(day=day, visitor=visitor)
 
 
-def views(spark: SparkSession, sf_dir: str) -> None:
-    for name in ("orders", "customer", "nation", "region"):
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+# Columns read from the given tables; naming them spares a look into the files.
+TABLES = {
+    "orders": "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz",
+    "customer": "c_custkey long, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
+def views(spark: SparkSession, sf_dir: str, *names: str) -> None:
+    for name in names:
+        spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
 
 
 def arrivals(spark: SparkSession, sf_dir: str, visitor: str = "k") -> DataFrame:
-    views(spark, sf_dir)
+    views(spark, sf_dir, "orders", "customer")
     return spark.sql(arrivals_sql(DAY_SPARK, visitor))
 
 
 def lookups(spark: SparkSession, sf_dir: str) -> Lookups:
-    views(spark, sf_dir)
+    views(spark, sf_dir, "nation", "region")
     texts = {schemas.PORT: LK_PORT, schemas.COUNTRY: LK_COUNTRY, schemas.MODE: LK_MODE}
     return {name: unique(spark.sql(text)) for name, text in texts.items()}

@@ -48,11 +48,11 @@ class Data:
 
     @cached_property
     def clean(self) -> DataFrame:
-        return rules.split(self.checked)[0]
+        return rules.split(self.flagged, self.rules)[0]
 
     @cached_property
     def rejected(self) -> DataFrame:
-        return rules.split(self.checked)[1]
+        return rules.split(self.flagged, self.rules)[1]
 
     @cached_property
     def star(self) -> dict[str, DataFrame]:

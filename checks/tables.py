@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks.registry import check, rounded, texts
 from starmart import schemas
 from starmart.operators import dims, fact
-from starmart.operators.joins import attach, unmapped
+from starmart.operators.joins import attach, sized, unmapped
 from starmart.plans import reports
 
 
@@ -65,8 +65,6 @@ JOIN dim_date dd ON f.departure_date_id = dd.date_id
 """,
 )
 def _(d):
-    from starmart.operators.joins import sized
-
     days = d.star[schemas.DIM_DATE]
     arrival = days.select(F.col("date_id").alias("arrival_date_id"), F.col("full_date").alias("arrived"))
     departure = days.select(F.col("date_id").alias("departure_date_id"), F.col("full_date").alias("departed"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import check, rounded, texts
 from starmart.operators import rules
+from starmart.plans import etl
 
 _RULE_COLUMNS = "cicid, i94port, departure_date_id, i94bir, i94cit, i94res"
 _BLANKED = """
@@ -95,10 +96,7 @@ FROM rejected r JOIN arrivals a ON r.cicid = a.cicid
 """,
 )
 def _(d):
-    from starmart.plans import etl
-
-    checked, _ = etl.check(d.arrivals, d.lookups)
-    kept = rules.quarantine(rules.split(checked)[1])
+    kept = rules.quarantine(rules.split(*etl.check(d.arrivals, d.lookups))[1])
     return kept.select(
         F.col("original_record.cicid").alias("original_cicid"),
         F.col("original_record.i94port").alias("original_port"),

@@ -165,11 +165,13 @@ def histogram(
         numbers = numbers.where(F.col("v") <= hi)
     # Values are counted first: the range and the bins are then taken from few rows.
     counts = numbers.groupBy("v").agg(_count().alias("n"))
-    low, high = counts.select(F.min("v")).scalar(), counts.select(F.max("v")).scalar()
-    width = (high - low) / bins
+    ends = counts.select(F.struct(F.min("v").alias("low"), F.max("v").alias("high"))).scalar()
+    low, width = F.col("ends.low"), (F.col("ends.high") - F.col("ends.low")) / bins
     place = F.when(width > 0, F.least(F.floor((F.col("v") - low) / width), F.lit(bins - 1))).otherwise(F.lit(0))
-    filled = counts.groupBy(place.cast("int").alias("bin")).agg(F.sum("n").alias("count"))
-    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    filled = (
+        counts.withColumn("ends", ends).groupBy(place.cast("int").alias("bin")).agg(F.sum("n").alias("count"))
+    )
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), ends.alias("ends"))
     return every.join(F.broadcast(filled), "bin", "left").select(
         "bin",
         (low + F.col("bin") * width).alias("from"),

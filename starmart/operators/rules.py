@@ -126,10 +126,13 @@ def repair(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return flagged.withColumns(blanked) if blanked else flagged
 
 
-def split(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Clean rows, without any rule columns, and rejected rows."""
+def split(flagged: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
+    """Clean rows, without any rule columns, and rejected rows with the columns blanked that broke a rule.
+
+    A clean row breaks no rule, so there is nothing to blank on that side.
+    """
     clean = flagged.where(~F.col("is_rejected")).drop("is_rejected", "rejection_reason", *_helpers(flagged))
-    return clean, flagged.where("is_rejected")
+    return clean, repair(flagged.where("is_rejected"), rules)
 
 
 def _helpers(flagged: DataFrame) -> list[str]:

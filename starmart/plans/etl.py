@@ -36,10 +36,10 @@ class Result:
 
 
 def check(raw: DataFrame, named: Lookups, rule_set: RuleSet = rules.default_rules) -> tuple[DataFrame, Sequence[Rule]]:
-    """Raw rows with everything derived, flagged and repaired, still one row each; no shuffle, no action."""
+    """Raw rows with everything derived and flagged, still one row each, and the rules that were asked for."""
     enriched = enrich(rules.keep_original(raw), named)
     checks = rule_set(enriched)
-    return rules.repair(rules.flag(enriched, checks), checks), checks
+    return rules.flag(enriched, checks), checks
 
 
 def staged_columns(checked: DataFrame, checks: Sequence[Rule]) -> DataFrame:
@@ -100,7 +100,7 @@ def run(
     try:
         sinks.write_table(staged_columns(checked, checks), stage)
         staged = spark.read.parquet(stage)
-        clean, rejected = rules.split(staged)
+        clean, rejected = rules.split(staged, checks)
 
         outputs = star(clean, named)
         if visa_per_code and schemas.DIM_VISA in outputs:
