@@ -21,7 +21,7 @@ SELECT CAST({visitor} AS DOUBLE) AS cicid,
        CASE WHEN k % 101 = 0 THEN NULL WHEN k % 37 = 0 THEN 'ZZZ'
             ELSE CONCAT('P', CAST(k % 25 AS VARCHAR(4))) END AS i94port,
        CAST(d AS DOUBLE) AS arrdate,
-       CAST(CASE WHEN k % 6 = 0 THEN NULL WHEN k % 53 = 0 THEN d - 1 - k % 5 ELSE d + k % 200 END AS DOUBLE) AS depdate,
+       CAST(d + CASE WHEN k % 6 = 0 THEN NULL WHEN k % 53 = 0 THEN -1 - k % 5 ELSE k % 200 END AS DOUBLE) AS depdate,
        CAST(CASE WHEN k % 97 = 1 THEN NULL WHEN k % 5 = 0 THEN 1 WHEN k % 5 = 1 THEN 2 WHEN k % 5 = 2 THEN 3
                  WHEN k % 5 = 3 THEN 9 ELSE 7 END AS DOUBLE) AS i94mode,
        CAST(CASE WHEN k % 89 = 0 THEN NULL ELSE k % 103 - 1 END AS DOUBLE) AS i94bir,

@@ -83,6 +83,12 @@ def active(df: DataFrame, rules: Sequence[Rule]) -> list[Rule]:
     return [rule for rule in rules if set(rule.needs) <= present]
 
 
+def applied(flagged: DataFrame, rules: Sequence[Rule]) -> list[Rule]:
+    """Rules that left a flag in the frame."""
+    present = set(flagged.columns)
+    return [rule for rule in rules if rule.flag in present]
+
+
 def keep_original(df: DataFrame) -> DataFrame:
     """The row as it came, in one struct. Comes before anything that changes a column."""
     return df.withColumn(ORIGINAL, F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in ORIGIN]))
@@ -118,7 +124,7 @@ def repair(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Blank the columns that broken rules name."""
     columns = set(flagged.columns)
     hits: dict[str, list[Column]] = {}
-    for rule in active(flagged, rules):
+    for rule in applied(flagged, rules):
         for name in rule.nullify:
             if name in columns:
                 hits.setdefault(name, []).append(F.col(rule.flag))
@@ -178,7 +184,7 @@ def summary(rejected: DataFrame) -> DataFrame:
 
 def rule_counts(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows that break each rule, over all rows, whatever other rules say. One pass, one row per rule."""
-    live = active(flagged, rules)
+    live = applied(flagged, rules)
     counted = flagged.agg(*[F.count_if(rule.flag).alias(rule.name) for rule in live])
     return counted.unpivot([], [rule.name for rule in live], "rule", "rows")
 
@@ -188,7 +194,7 @@ def metrics(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
     One pass: counts are taken per reason, and these few rows are then laid out as the table.
     """
-    live = active(flagged, rules)
+    live = applied(flagged, rules)
     flags = {rule.flag for rule in live}
     counted = flagged.groupBy("rejection_reason").agg(
         F.count(F.lit(1)).alias("rows"), *[F.count_if(rule.flag).alias(rule.flag) for rule in live]

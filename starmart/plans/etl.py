@@ -92,7 +92,7 @@ def run(
     checked, checks = check(raw, named, rule_set)
 
     result = Result()
-    live = {rule.name for rule in rules.active(checked, checks)}
+    live = {rule.name for rule in rules.applied(checked, checks)}
     result.skipped_rules = [rule.name for rule in checks if rule.name not in live]
 
     output, rejected_root = output_path.rstrip("/"), rejected_path.rstrip("/")
