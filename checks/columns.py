@@ -230,7 +230,7 @@ def _(d):
     "p25_coercion",
     """
 SELECT cicid, TRY_CAST(substr(i94port, 2) AS DOUBLE) AS number,
-       CAST(TRY_CAST(CONCAT(lpad(substr(i94port, 2), 2, '0'), '20-01-31') AS DATE) AS VARCHAR) AS date
+       CAST(TRY_CAST(lpad(substr(i94port, 2), 2, '0') || '20-01-31' AS DATE) AS VARCHAR) AS date
 FROM arrivals
 """,
 )

@@ -48,7 +48,7 @@ fact AS (
   FROM clean
 ),
 people AS (
-  SELECT CAST(cicid AS BIGINT) AS visitor_id,
+  SELECT CAST(cicid AS BIGINT) AS visitor_id, i94cit, i94res,
          CAST(CAST(i94cit AS BIGINT) AS VARCHAR) AS country_of_citizenship_code,
          CAST(CAST(i94res AS BIGINT) AS VARCHAR) AS country_of_residence_code,
          CAST(i94bir AS INTEGER) AS age, gender, CAST(biryear AS INTEGER) AS biryear
@@ -57,8 +57,7 @@ people AS (
 one_each AS (
   SELECT *, row_number() OVER (
       PARTITION BY visitor_id
-      ORDER BY country_of_citizenship_code NULLS FIRST, country_of_residence_code NULLS FIRST,
-               age NULLS FIRST, biryear NULLS FIRST, gender NULLS FIRST) AS place
+      ORDER BY i94cit NULLS FIRST, i94res NULLS FIRST, age NULLS FIRST, biryear NULLS FIRST, gender NULLS FIRST) AS place
   FROM people
 ),
 dim_visitor AS (

@@ -6,7 +6,6 @@ from datetime import date as Date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from starmart import schemas
 from starmart.functions import codes, dates, places, visas
@@ -36,36 +35,44 @@ def date(spark: SparkSession, start: str = "1960-01-01", end: str = "2030-01-01"
     )
 
 
-# Visitor columns taken from the arrivals: source, target, whole-number type (None: text).
+# Visitor columns taken from the arrivals: target, source. Codes and gender stay as they are, the rest are numbers.
 _VISITOR_SOURCES = (
-    ("cicid", "visitor_id", "bigint"),
-    ("i94cit", "country_of_citizenship_code", None),
-    ("i94res", "country_of_residence_code", None),
-    ("i94bir", "age", "int"),
-    ("biryear", "biryear", "int"),
-    ("gender", "gender", None),
+    ("country_of_citizenship_code", "i94cit"),
+    ("country_of_residence_code", "i94res"),
+    ("age", "i94bir"),
+    ("biryear", "biryear"),
+    ("gender", "gender"),
 )
+_WHOLE = ("age", "biryear")
 _COUNTRIES = ("country_of_citizenship", "country_of_residence")
 
 
 def visitor(clean: DataFrame, lookups: Lookups) -> DataFrame:
     """One row per visitor.
 
-    Of several rows with one id the first in column order stays. Every task hands on one row per id only, so an
-    id that fills a third of the table is no burden; country names are joined to the rows that are left.
+    Of several rows with one id the smallest stays, compared column by column. Every task hands on one row per
+    id, so an id that fills a third of the table is no burden; codes become text and meet their country names
+    only on the rows that are left.
     """
+    if "cicid" not in clean.columns:
+        raise ValueError("the data has no visitor id (cicid)")
     columns = [
-        (codes.code_of(clean, source) if whole is None else codes.to_whole(clean, source, whole)).alias(target)
-        for source, target, whole in _VISITOR_SOURCES
+        (codes.to_whole(clean, source, "int") if target in _WHOLE else F.col(source)).alias(target)
+        for target, source in _VISITOR_SOURCES
         if source in clean.columns
     ]
-    people = clean.select(*columns)
-    first = Window.partitionBy("visitor_id").orderBy(*[c for c in people.columns if c != "visitor_id"])
-    people = people.withColumn("_place", F.row_number().over(first)).where("_place = 1").drop("_place")
+    people = (
+        clean.select(codes.to_whole(clean, "cicid", "bigint").alias("visitor_id"), F.struct(*columns).alias("person"))
+        .groupBy("visitor_id")
+        .agg(F.min("person").alias("person"))
+        .select("visitor_id", "person.*")
+    )
     for country in _COUNTRIES:
         code = f"{country}_code"
-        if code in people.columns and schemas.COUNTRY in lookups:
-            people = with_country(people, code, lookups[schemas.COUNTRY], country)
+        if code in people.columns:
+            if schemas.COUNTRY in lookups:
+                people = with_country(people, code, lookups[schemas.COUNTRY], country)
+            people = people.withColumn(code, codes.code_of(people, code))
     return people.select([c for c in schemas.VISITOR_COLUMNS if c in people.columns])
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from starmart import schemas, session
 from starmart.operators import dims, fact, rules
-from starmart.operators.enrich import HIT_COLUMNS, enrich
+from starmart.operators.enrich import enrich
 from starmart.operators.rules import Rule
 from starmart.sources import arrivals, lookups, sinks
 from starmart.sources.lookups import Lookups
@@ -42,14 +42,38 @@ def check(raw: DataFrame, named: Lookups, rule_set: RuleSet = rules.default_rule
     return rules.flag(enriched, checks), checks
 
 
+# Columns of clean rows that the star tables read.
+_STAR_SOURCES = (
+    "cicid",
+    "i94cit",
+    "i94res",
+    "i94port",
+    "i94bir",
+    "biryear",
+    "gender",
+    "visatype",
+    "visapost",
+    "i94visa",
+    "arrival_date_id",
+    "departure_date_id",
+    "travel_mode",
+    "is_overstay",
+)
+# Columns of rejected rows beyond those: none on clean rows, so they take no room there.
+_REJECTED_ONLY = (rules.ORIGINAL, *arrivals.ORIGIN, "arrdate_dt", "depdate_dt")
+
+
 def staged_columns(checked: DataFrame, checks: Sequence[Rule]) -> DataFrame:
-    """What the outputs need of the checked rows: the original record on rejected rows only."""
-    kept = [c for c in checked.columns if c not in HIT_COLUMNS and c != rules.ORIGINAL]
-    used = {f.name for f in schemas.ARRIVALS.fields} | {c for rule in checks for c in rule.nullify}
-    raw = {f.name for f in checked.schema[rules.ORIGINAL].dataType.fields}
-    kept = [c for c in kept if c in used or c not in raw]
-    original = F.when(F.col("is_rejected"), F.col(rules.ORIGINAL)).alias(rules.ORIGINAL)
-    return checked.select(*kept, original)
+    """What the outputs need of the checked rows, and no more."""
+    live = rules.applied(checked, checks)
+    repaired = [name for rule in live for name in rule.nullify]
+    wanted = dict.fromkeys([*_STAR_SOURCES, *repaired, *[r.flag for r in live], "is_rejected", "rejection_reason"])
+    rejected_only = [
+        F.when(F.col("is_rejected"), F.col(name)).alias(name)
+        for name in _REJECTED_ONLY
+        if name in checked.columns and name not in wanted
+    ]
+    return checked.select([name for name in wanted if name in checked.columns] + rejected_only)
 
 
 def star(clean: DataFrame, named: Lookups) -> dict[str, DataFrame]:

@@ -1,7 +1,7 @@
 """The three reports over the star tables; `tables` maps table names to frames.
 
 The visitor table grows with the facts, so arrivals are counted per visitor before they meet it: every task hands
-on one row per visitor, however many arrivals one of them has. Port and date tables go to every executor if their
+on one row per visitor, or few, however many arrivals one of them has. Port and date tables go to every executor if their
 size allows.
 """
 
@@ -34,11 +34,6 @@ def load(spark: SparkSession, path: str, names: tuple[str, ...] | None = None) -
     return tables
 
 
-def per_visitor(fact: DataFrame, *columns: str) -> DataFrame:
-    """Arrivals counted by visitor and the given columns."""
-    return fact.groupBy("visitor_id", *columns).agg(F.count(F.lit(1)).alias("arrivals"))
-
-
 def visa_by_country(tables: Tables) -> DataFrame:
     """Arrivals by country of citizenship and visa purpose.
 
@@ -47,7 +42,9 @@ def visa_by_country(tables: Tables) -> DataFrame:
     visitors = tables[schemas.DIM_VISITOR].select("visitor_id", "country_of_citizenship")
     purposes = tables[schemas.DIM_VISA].select(F.col("visa_code").alias("visatype"), "visa_purpose")
     by_type = (
-        per_visitor(tables[schemas.FACT], "visatype")
+        tables[schemas.FACT]
+        .groupBy("visitor_id", "visatype")
+        .agg(F.count(F.lit(1)).alias("arrivals"))
         .join(visitors, "visitor_id")
         .groupBy("country_of_citizenship", "visatype")
         .agg(F.sum("arrivals").alias("arrivals"))
@@ -81,15 +78,35 @@ def stay_by_port(tables: Tables, port_bound: DataFrame | None = None) -> DataFra
     )
 
 
+# How many arrivals of a visitor have each value of the flag.
+_FLAG_COUNTS = {"true": True, "false": False, "unknown": None}
+
+
 def overstay_by_age(tables: Tables) -> DataFrame:
-    """Arrivals by country of citizenship, age band and overstay flag."""
+    """Arrivals by country of citizenship, age band and overstay flag.
+
+    Each value of the flag is a count of its own until the end, so arrivals are shuffled by visitor only once.
+    """
     visitors = tables[schemas.DIM_VISITOR].select(
         "visitor_id", "country_of_citizenship", bands.age_band(F.col("age")).alias("age_group")
     )
+    flag = F.col("is_overstay")
+    per_visitor = (
+        tables[schemas.FACT]
+        .groupBy("visitor_id")
+        .agg(*[F.count_if(flag.eqNullSafe(F.lit(value))).alias(name) for name, value in _FLAG_COUNTS.items()])
+    )
+    per_group = (
+        per_visitor.join(visitors, "visitor_id")
+        .groupBy("country_of_citizenship", "age_group")
+        .agg(*[F.sum(name).alias(name) for name in _FLAG_COUNTS])
+    )
+    entries = [
+        F.struct(F.lit(value).cast("boolean").alias("is_overstay"), F.col(name).alias("visitor_count"))
+        for name, value in _FLAG_COUNTS.items()
+    ]
     return (
-        per_visitor(tables[schemas.FACT], "is_overstay")
-        .join(visitors, "visitor_id")
-        .groupBy("country_of_citizenship", "age_group", "is_overstay")
-        .agg(F.sum("arrivals").alias("visitor_count"))
+        per_group.select("country_of_citizenship", "age_group", F.inline(F.array(*entries)))
+        .where("visitor_count > 0")
         .orderBy("country_of_citizenship", "age_group")
     )
