@@ -116,6 +116,8 @@ def _holds(df: DataFrame, rule: Rule) -> Column:
     broken = F.coalesce(rule.condition, F.lit(False))
     if rule.min_share is None:
         return broken
+    if df.isStreaming:
+        raise ValueError(f"rule {rule.name}: min_share is a share of all rows, which a stream does not have")
     share = df.select(F.count_if(broken) / F.count(F.lit(1))).scalar()
     return broken & (share >= F.lit(rule.min_share))
 

@@ -31,13 +31,17 @@ def read(
     if schema is not None:
         reader = reader.schema(schema)
     raw = reader.parquet(*paths)
-    wanted = [F.col(f"`{c}`") for c in raw.columns if c not in set(drop_columns)]
-    if origin:
-        wanted += [
-            F.col("_metadata.file_path").alias(SOURCE_FILE),
-            F.col("_metadata.row_index").alias(SOURCE_ROW),
-        ]
-    return raw.select(*wanted)
+    dropped = [c for c in drop_columns if c in raw.columns]
+    return (with_origin(raw) if origin else raw).drop(*dropped)
+
+
+def with_origin(raw: DataFrame) -> DataFrame:
+    """Add the source file and the row number within it to a parquet scan."""
+    return raw.select(
+        "*",
+        F.col("_metadata.file_path").alias(SOURCE_FILE),
+        F.col("_metadata.row_index").alias(SOURCE_ROW),
+    )
 
 
 def sample(df: DataFrame, target_rows: int = 1_000_000, assumed_rows: int = 40_000_000, seed: int = 42) -> DataFrame:
