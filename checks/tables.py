@@ -11,7 +11,10 @@ from starmart.operators.joins import attach, sized, unmapped
 from starmart.plans import reports
 
 
-@check("j1_visa_by_category", "SELECT visatype, visapost, visa_category FROM visa_posts LEFT JOIN visa_classes USING (visatype)")
+@check(
+    "j1_visa_by_category",
+    "SELECT visatype, visapost, visa_category FROM visa_posts LEFT JOIN visa_classes USING (visatype)",
+)
 def _(d):
     return dims.visa_posts(d.clean).join(dims.visa_classes(d.clean), "visatype", "left")
 
@@ -145,6 +148,14 @@ def _(d):
     return dims.with_unknown_member(dims.visa(d.clean).where("visa_code <> 'Unknown'"))
 
 
+@check(
+    "t2_arrivals_by_day",
+    "SELECT arrival_date_id, count(*) AS count FROM fact GROUP BY arrival_date_id ORDER BY arrival_date_id",
+)
+def _(d):
+    return d.star[schemas.FACT].groupBy("arrival_date_id").count().orderBy("arrival_date_id")
+
+
 _DATE_COLUMNS = """
 date_id, CAST(full_date AS VARCHAR) AS full_date, year, month, month_name, day, day_of_week, weekday_name, is_weekend,
 quarter

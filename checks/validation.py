@@ -39,6 +39,16 @@ def _(d):
     return d.flagged.select("cicid", "rejection_reason")
 
 
+@check("p17_clean_filter", "SELECT cicid, i94port, visatype FROM judged WHERE NOT is_rejected")
+def _(d):
+    return d.clean.select("cicid", "i94port", "visatype")
+
+
+@check("p17_rejected_filter", "SELECT cicid, visatype, rejection_reason FROM judged WHERE is_rejected")
+def _(d):
+    return d.rejected.select("cicid", "visatype", "rejection_reason")
+
+
 _CLEAN_COLUMNS = """
 cicid, i94cit, i94res, i94port, arrdate, depdate, i94mode, i94bir, biryear, gender, visatype, visapost, i94visa,
 CAST(arrdate_dt AS VARCHAR) AS arrdate_dt, CAST(depdate_dt AS VARCHAR) AS depdate_dt, arrival_date_id,

@@ -22,11 +22,12 @@ def _count() -> Column:
 
 
 def nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Missing values per column, as count and percent of all rows."""
+    """Missing values per column, as count and percent of all rows; the emptiest column comes first."""
     names = list(columns or df.columns)
     counted = df.agg(_count().alias("_rows"), *[F.count_if(is_missing(df, c)).alias(c) for c in names])
     long = counted.unpivot(["_rows"], names, "column", "missing")
-    return long.select("column", "missing", (F.col("missing") * 100 / F.col("_rows")).alias("missing_percent"))
+    percent = (F.col("missing") * 100 / F.col("_rows")).alias("missing_percent")
+    return long.select("column", "missing", percent).orderBy(F.desc("missing_percent"), "column")
 
 
 def mostly_missing(profile: DataFrame, percent: float = 0.5) -> DataFrame:
