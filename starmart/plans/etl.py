@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from starmart.sources.lookups import Lookups
 RuleSet = Callable[[DataFrame], Sequence[Rule]]
 
 ARRIVAL_MONTH = "arrival_month"
+STAR = (schemas.DIM_DATE, schemas.DIM_VISITOR, schemas.DIM_VISA, schemas.DIM_PORT, schemas.FACT)
 
 
 @dataclass
@@ -110,8 +112,7 @@ def run(
     visa_per_code: bool = False,
 ) -> Result:
     """Run the job and write all tables. Errors are raised; nothing is passed over in silence."""
-    tables = lookups.read_csv_dir(spark, staging_path)
-    named = lookups.by_name(tables)
+    named = lookups.read_named(spark, staging_path)
     raw = arrivals.read(spark, input_path, drop_columns=drop_columns, origin=True, skip_corrupt=skip_corrupt)
     checked, checks = check(raw, named, rule_set)
 
@@ -129,25 +130,21 @@ def run(
         outputs = star(clean, named)
         if visa_per_code and schemas.DIM_VISA in outputs:
             outputs[schemas.DIM_VISA] = dims.visa_by_code(clean)
-        for name, table in outputs.items():
-            month = by_month and name == schemas.FACT and "arrival_date_id" in table.columns
-            result.rows[name] = sinks.write_table(
-                with_month(table) if month else table,
-                f"{output}/{name}",
-                fmt,
-                partition_by=ARRIVAL_MONTH if month else None,
-            )
-        expected = (schemas.DIM_DATE, schemas.DIM_VISITOR, schemas.DIM_VISA, schemas.DIM_PORT, schemas.FACT)
-        result.skipped_tables = [name for name in expected if name not in outputs]
-
-        metrics_path = f"{output}/{schemas.METRICS}"
-        result.rows[schemas.METRICS] = sinks.write_table(rules.metrics(staged, checks), metrics_path)
+        result.skipped_tables = [name for name in STAR if name not in outputs]
+
+        writes = {name: (table, f"{output}/{name}", fmt) for name, table in outputs.items()}
+        if by_month and "arrival_date_id" in outputs[schemas.FACT].columns:
+            month = with_month(outputs[schemas.FACT])
+            writes[schemas.FACT] = (month, f"{output}/{schemas.FACT}", fmt, ARRIVAL_MONTH)
+        writes[schemas.METRICS] = (rules.metrics(staged, checks), f"{output}/{schemas.METRICS}")
         if not rejected.select("is_rejected").isEmpty():
             rows = rules.quarantine_flat(rejected) if flat_quarantine else rules.quarantine(rejected)
-            result.rows[schemas.REJECTED] = sinks.write_table(rows, f"{rejected_root}/{schemas.REJECTED}")
-            result.rows[schemas.SUMMARY] = sinks.write_table(
-                rules.summary(rejected), f"{rejected_root}/{schemas.SUMMARY}"
-            )
+            writes[schemas.REJECTED] = (rows, f"{rejected_root}/{schemas.REJECTED}")
+            writes[schemas.SUMMARY] = (rules.summary(rejected), f"{rejected_root}/{schemas.SUMMARY}")
+        # The tables do not depend on each other: small ones fill the gaps that the last tasks of large ones leave.
+        with ThreadPoolExecutor(len(writes)) as pool:
+            counts = pool.map(lambda write: sinks.write_table(*write), writes.values())
+            result.rows = dict(zip(writes, counts))
     finally:
         session.remove(spark, stage)
     return result

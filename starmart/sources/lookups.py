@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,13 +29,13 @@ def unique(lookup: DataFrame) -> DataFrame:
     return lookup.groupBy("code").agg(F.max("description").alias("description"))
 
 
-def read_csv_dir(
+def read_named(
     spark: SparkSession, path: str, names: Iterable[str] | None = None, trim_codes: bool = False
-) -> DataFrame:
-    """All lookup CSVs of a folder, or just the named ones.
+) -> Lookups:
+    """Lookup CSVs of a folder as one (code, description) frame each, or just the named ones.
 
     A file `NAME.csv`, or files under `lookup=NAME/`, make lookup NAME. Columns go by their header names, so
-    they may stand in any order and among others. Files without `code` or `description` are an error.
+    they may stand in any order and among others. Of repeated codes the last stays.
     """
     files = _files(spark, path)
     if names is not None:
@@ -44,45 +45,39 @@ def read_csv_dir(
             raise FileNotFoundError(f"no CSV in {path} for lookup(s) {', '.join(absent)}")
     if not files:
         raise FileNotFoundError(f"no lookup CSV in {path}")
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for file in (f for found in files.values() for f in found):
-        header = tuple(_csv(spark, [file]).columns)
-        missing = {"code", "description"} - set(header)
-        if missing:
-            raise ValueError(f"lookup file {file} lacks column(s) {', '.join(sorted(missing))}")
-        by_header.setdefault(header, []).append(file)
-    parts = [_with_name(_csv(spark, group)) for group in by_header.values()]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    trimmed = F.lit(True) if trim_codes else F.col("lookup") == TRIMMED
-    rows = rows.withColumns(
-        {
-            "code": F.when(trimmed, strip(F.col("code"))).otherwise(F.col("code")),
-            "description": F.when(F.col("lookup") == TRIMMED, strip(F.col("description"))).otherwise(F.col("description")),
-        }
-    )
-    return last_wins(rows.where(F.col("code").isNotNull()), ["lookup", "code"], F.col("position"))
+    lookups = {}
+    for name, found in files.items():
+        rows = reduce(DataFrame.unionByName, [_rows(spark, file) for file in found])
+        if name == TRIMMED:
+            rows = rows.withColumns({c: strip(F.col(c)) for c in ("code", "description")})
+        elif trim_codes:
+            rows = rows.withColumn("code", strip(F.col("code")))
+        lookups[name] = last_wins(rows.where("code is not null"), ["code"], F.col("position"))
+    return lookups
 
 
-def _csv(spark: SparkSession, files: list[str]) -> DataFrame:
-    """Text columns only; quoted commas, doubled quotes and outer blanks are kept as written."""
-    return (
+def read_csv_dir(
+    spark: SparkSession, path: str, names: Iterable[str] | None = None, trim_codes: bool = False
+) -> DataFrame:
+    """The lookups `read_named` reads, as one table (lookup, code, description)."""
+    tables = read_named(spark, path, names, trim_codes).items()
+    return reduce(DataFrame.unionByName, [table.select(F.lit(name).alias("lookup"), "*") for name, table in tables])
+
+
+def _rows(spark: SparkSession, file: str) -> DataFrame:
+    """Code, description and position of each line; quoted commas, doubled quotes and outer blanks are kept."""
+    rows = (
         spark.read.option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(files)
-    )
-
-
-def _with_name(rows: DataFrame) -> DataFrame:
-    return rows.select(
-        _lookup_name(F.col("_metadata.file_path")).alias("lookup"),
-        "code",
-        "description",
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("position"),
+        .csv(file)
     )
+    missing = {"code", "description"} - set(rows.columns)
+    if missing:
+        raise ValueError(f"lookup file {file} lacks column(s) {', '.join(sorted(missing))}")
+    position = F.struct(F.lit(file), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    return rows.select("code", "description", position.alias("position"))
 
 
 def _files(spark: SparkSession, path: str) -> dict[str, list[str]]:
