@@ -20,25 +20,25 @@ def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> Data
     """
     counts = df.groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
     cuts = [i / SLICES for i in range(1, SLICES)]
-    edges = counts.select(F.array_distinct(F.percentile_approx("v", cuts, 10_000))).scalar()
-    place = F.array_position(F.sort_array(F.array_append(edges, F.col("v"))), F.col("v"))
-    sliced = counts.withColumn("slice", place)
+    edges = F.array_distinct(F.percentile_approx("v", cuts, 10_000))
+    whole = counts.select(F.struct(edges.alias("edges"), F.sum("n").alias("rows"))).scalar()
+    place = F.array_position(F.sort_array(F.array_append("whole.edges", F.col("v"))), F.col("v"))
+    sliced = counts.withColumn("whole", whole).select("v", "n", place.alias("slice"), "whole.rows")
 
     before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    totals = sliced.groupBy("slice").agg(F.sum("n").alias("rows"))
-    starts = totals.select("slice", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    totals = sliced.groupBy("slice").agg(F.sum("n").alias("held"))
+    starts = totals.select("slice", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("start"))
 
     within = Window.partitionBy("slice").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = sliced.withColumn("upto", F.sum("n").over(within)).join(F.broadcast(starts), "slice")
     last = F.col("start") + F.col("upto") - 1
     first = last - F.col("n") + 1
 
-    total = counts.select(F.sum("n")).scalar()
     picks = []
     for i, share in enumerate(shares):
-        rank = (total - 1) * F.lit(float(share))
-        for side, place in (("a", F.floor(rank)), ("b", F.ceil(rank))):
-            picks.append(F.max(F.when(place.between(first, last), F.col("v"))).alias(f"{side}{i}"))
+        rank = (F.col("rows") - 1) * F.lit(float(share))
+        for side, at in (("a", F.floor(rank)), ("b", F.ceil(rank))):
+            picks.append(F.max(F.when(at.between(first, last), F.col("v"))).alias(f"{side}{i}"))
         picks.append(F.max(rank - F.floor(rank)).alias(f"w{i}"))
     found = ranked.agg(*picks)
     return found.select(

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from starmart import schemas, session
 from starmart.operators import dims, fact, rules
 from starmart.operators.enrich import enrich
+from starmart.operators.joins import estimated_bytes
 from starmart.operators.rules import Rule
 from starmart.sources import arrivals, lookups, sinks
 from starmart.sources.lookups import Lookups
@@ -44,15 +45,11 @@ def check(raw: DataFrame, named: Lookups, rule_set: RuleSet = rules.default_rule
     return rules.flag(enriched, checks), checks
 
 
-# Columns of clean rows that the star tables read.
+# Columns of clean rows that the star tables read: the visitor table, and the others.
+VISITOR_SOURCES = ("cicid", "i94cit", "i94res", "i94bir", "biryear", "gender")
 _STAR_SOURCES = (
-    "cicid",
-    "i94cit",
-    "i94res",
+    *VISITOR_SOURCES,
     "i94port",
-    "i94bir",
-    "biryear",
-    "gender",
     "visatype",
     "visapost",
     "i94visa",
@@ -126,6 +123,8 @@ def run(
         sinks.write_table(staged_columns(checked, checks), stage)
         staged = spark.read.parquet(stage)
         clean, rejected = rules.split(staged, checks)
+        visitors = staged.select([c for c in VISITOR_SOURCES if c in staged.columns])
+        session.size_shuffles(spark, estimated_bytes(visitors))
 
         outputs = star(clean, named)
         if visa_per_code and schemas.DIM_VISA in outputs:

@@ -12,9 +12,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart import schemas
+from starmart import schemas, session
 from starmart.functions import bands, dates
-from starmart.operators.joins import sized
+from starmart.operators.joins import estimated_bytes, sized
 
 Tables = Mapping[str, DataFrame]
 
@@ -31,6 +31,7 @@ def load(spark: SparkSession, path: str, names: tuple[str, ...] | None = None) -
     ):
         tables[name] = spark.read.parquet(f"{path.rstrip('/')}/{name}")
         tables[name].createOrReplaceTempView(name)
+    session.size_shuffles(spark, sum(estimated_bytes(table) for table in tables.values()))
     return tables
 
 

@@ -15,7 +15,7 @@ SETTINGS = {
 
 
 def build(app: str = "starmart", **settings: str) -> SparkSession:
-    """Session with adaptive execution on; whatever spark-submit set stays as it is."""
+    """Session with these settings; `settings` add to them or replace them."""
     builder = SparkSession.builder.appName(app)
     for key, value in {**SETTINGS, **settings}.items():
         builder = builder.config(key, value)
@@ -27,6 +27,22 @@ def shared_folder(spark: SparkSession, fallback: str) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or fallback
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+BYTES_PER_PARTITION = 256 * 1024 * 1024
+MOST_PARTITIONS = 20_000
+
+
+def size_shuffles(spark: SparkSession, shuffled_bytes: int) -> None:
+    """Raise the number of partitions shuffles start with to suit the data; never lower it.
+
+    Adaptive execution merges partitions that turn out small, but does not split the input of an aggregation.
+    """
+    wanted = min(shuffled_bytes // BYTES_PER_PARTITION, MOST_PARTITIONS)
+    current = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    if wanted > int(current):
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table on whichever file system holds it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
