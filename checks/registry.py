@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +65,12 @@ class Data:
         }
 
 
+@lru_cache(maxsize=8)
+def data(spark: SparkSession, sf_dir: str, visitor: str) -> Data:
+    """Checks of one session share the plans, not the rows: nothing is cached in Spark."""
+    return Data(spark, sf_dir, visitor)
+
+
 @dataclass(frozen=True)
 class Check:
     run: Callable[[Data], DataFrame]
@@ -89,7 +95,7 @@ def check(name: str, sql: str | None, visitor: str = "k") -> Callable:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(item: Check) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, sf_dir: item.run(Data(spark, sf_dir, item.visitor))
+        return lambda spark, sf_dir: item.run(data(spark, sf_dir, item.visitor))
 
     return {name: bound(item) for name, item in CHECKS.items()}
 

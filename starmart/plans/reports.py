@@ -1,7 +1,8 @@
 """The three reports over the star tables; `tables` maps table names to frames.
 
 The visitor table grows with the facts, so arrivals are counted per visitor before they meet it: every task hands
-on one row per visitor, or few, however many arrivals one of them has. Port and date tables go to every executor if their
+on one row per visitor, or few, however many arrivals one of them has. That table is never broadcast, however small
+its files look: the join is told to merge. Port and date tables go to every executor if their
 size allows.
 """
 
@@ -40,7 +41,7 @@ def visa_by_country(tables: Tables) -> DataFrame:
 
     Counts are down to countries and visa types before the visa table comes in, whose rows may repeat a type.
     """
-    visitors = tables[schemas.DIM_VISITOR].select("visitor_id", "country_of_citizenship")
+    visitors = tables[schemas.DIM_VISITOR].select("visitor_id", "country_of_citizenship").hint("merge")
     purposes = tables[schemas.DIM_VISA].select(F.col("visa_code").alias("visatype"), "visa_purpose")
     by_type = (
         tables[schemas.FACT]
@@ -90,7 +91,7 @@ def overstay_by_age(tables: Tables) -> DataFrame:
     """
     visitors = tables[schemas.DIM_VISITOR].select(
         "visitor_id", "country_of_citizenship", bands.age_band(F.col("age")).alias("age_group")
-    )
+    ).hint("merge")
     flag = F.col("is_overstay")
     per_visitor = (
         tables[schemas.FACT]

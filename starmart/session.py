@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Rows in memory take several times the room of compressed files: size estimates have to allow for it.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     # The JVM never compiles methods above this size; stages that would need one fall back to smaller ones.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }

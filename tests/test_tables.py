@@ -173,3 +173,9 @@ def test_broadcast_depends_on_the_size(spark, named, monkeypatch, tmp_path):
         assert plain.where("port_known").count() == 10 == hinted.where("port_known").count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_visitors_are_never_broadcast(star):
+    tables = star([(1, 20160101, None, "P1", "B1", "Air", True)], [(1, "BRASIL", 40)])
+    for report in (reports.overstay_by_age, reports.visa_by_country):
+        assert "SortMergeJoin [visitor_id" in report(tables)._jdf.queryExecution().executedPlan().toString()
