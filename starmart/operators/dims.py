@@ -61,8 +61,11 @@ def visitor(clean: DataFrame, lookups: Lookups) -> DataFrame:
         for target, source in _VISITOR_SOURCES
         if source in clean.columns
     ]
+    visitor_id = codes.to_whole(clean, "cicid", "bigint").alias("visitor_id")
+    if not columns:
+        return clean.select(visitor_id).distinct()
     people = (
-        clean.select(codes.to_whole(clean, "cicid", "bigint").alias("visitor_id"), F.struct(*columns).alias("person"))
+        clean.select(visitor_id, F.struct(*columns).alias("person"))
         .groupBy("visitor_id")
         .agg(F.min("person").alias("person"))
         .select("visitor_id", "person.*")

@@ -210,14 +210,21 @@ def metrics(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
     entries = [
         entry("total", F.lit(None), F.col("rows")),
-        entry("rejected", F.lit(None), F.when(reason.isNotNull(), F.col("rows")).otherwise(0)),
+        entry("rejected", F.lit(None), F.when(reason.isNotNull(), F.col("rows"))),
         *[entry("rule", F.lit(rule.name), F.col(rule.flag)) for rule in live],
-        *[entry("skipped", F.lit(rule.name), F.lit(0)) for rule in rules if rule.flag not in flags],
         entry("reason", reason, F.when(reason.isNotNull(), F.col("rows"))),
     ]
+    # Zero rows of what is always reported, so that it is there for an empty table too.
+    always = [
+        entry("total", F.lit(None), F.lit(0)),
+        entry("rejected", F.lit(None), F.lit(0)),
+        *[entry("rule" if rule.flag in flags else "skipped", F.lit(rule.name), F.lit(0)) for rule in rules],
+    ]
+    zeros = flagged.sparkSession.range(1).select(F.inline(F.array(*always)))
     return (
         counted.select(F.inline(F.array(*entries)))
         .where("rows is not null")
+        .unionByName(zeros)
         .groupBy("metric", "item")
         .agg(F.sum("rows").alias("rows"))
     )

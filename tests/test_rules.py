@@ -134,3 +134,9 @@ def test_rate_by_day(arrivals, named):
     df, _ = flagged(arrivals, named, {}, BAD["age"], BAD["port"], {"arrdate": 20574.0})
     got = {(str(r.arrdate_dt), r.rejection_reason): (r.rows, r.percent) for r in rules.rate_by_day(df).collect()}
     assert len(got) == 2 and got[("2016-04-29", "Negative age value")] == (1, pytest.approx(100 / 3))
+
+
+def test_metrics_of_an_empty_table(arrivals, named):
+    df, checks = etl.check(arrivals({}).limit(0), named)
+    got = {(r.metric, r.item): r.rows for r in rules.metrics(df, checks).collect()}
+    assert got == {("total", None): 0, ("rejected", None): 0, **{("rule", c.name): 0 for c in checks}}

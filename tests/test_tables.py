@@ -179,3 +179,10 @@ def test_visitors_are_never_broadcast(star):
     tables = star([(1, 20160101, None, "P1", "B1", "Air", True)], [(1, "BRASIL", 40)])
     for report in (reports.overstay_by_age, reports.visa_by_country):
         assert "SortMergeJoin [visitor_id" in report(tables)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_visitor_table_of_ids_alone(spark, named):
+    ids = spark.createDataFrame([(1.0,), (1.0,), (2.0,)], "cicid double")
+    assert sorted(r.visitor_id for r in dims.visitor(ids, named).collect()) == [1, 2]
+    with pytest.raises(ValueError):
+        dims.visitor(ids.withColumnRenamed("cicid", "other"), named)
