@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as spec
+from checks import registry
 from tests.compare import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -15,13 +16,13 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", spec.oracle_sql())
+@pytest.mark.parametrize("name", registry.oracle_sql())
 def test_check(spark, con, name):
     assert difference(spec.queries()[name](spark, SF_DIR), con, spec.oracle_sql()[name]) is None
 
 
 def test_only_samples_go_without_sql():
-    assert set(spec.queries()) - set(spec.oracle_sql()) == {"s7_row_sample"}
+    assert set(registry.queries()) - set(registry.oracle_sql()) == {"s7_row_sample"}
 
 
 def test_expected_counts(spark):
