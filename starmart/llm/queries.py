@@ -6,23 +6,37 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import prefix_free, suffix_tree
+from starmart.llm import minhash, prefix_free, suffix_tree, winnow
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_copies(documents(spark, sf_dir))
+
+
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.digest(suffix_tree.without_repeated_passages(documents(spark, sf_dir)))
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.digest(winnow.contamination(documents(spark, sf_dir), benchmark(spark, sf_dir)))
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_free.digest(prefix_free.without_repeated_bytes(documents(spark, sf_dir)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash_near_dedup": op2,
     "op3_substring_dedup": op3,
+    "op4_benchmark_decontamination": op4,
     "op9_suffix_array_dedup": op9,
 }
 SQL: dict[str, str] = {}
