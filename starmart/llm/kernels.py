@@ -99,6 +99,17 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
+def parts(batch: pa.RecordBatch, column: str, size: int = 2 * BLOCK) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about so many bytes of text each, one text at least."""
+    sizes = np.cumsum(np.diff(flat(batch[column])[1]))
+    lo = 0
+    while lo < len(sizes):
+        before = int(sizes[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(sizes, before + size)))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 @dataclass
 class Words:
     """Words of a block of texts: their hashes, and where they lie in the bytes and in the texts."""

@@ -31,7 +31,9 @@ from starmart.llm import kernels as K
 from starmart.llm import tables
 
 #: Rows that a task takes in at once in the two comparing steps.
-GROUP_ROWS = 400_000
+GROUP_ROWS = 250_000
+#: Text that a task looks at in one go; equal regions in it become one row.
+TASK_BYTES = 8 << 20
 _U48 = np.uint64((1 << 48) - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _WILD = 0xFFFF
@@ -159,7 +161,7 @@ def regions(shape: Shape, buckets: int) -> Callable[[Iterator[pa.RecordBatch]],
     """Step 1 on the side of the texts: the regions of a batch, one row for equal ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in K.parts(whole, "text", TASK_BYTES)):
             symbols, bounds, _, _ = _symbols(batch["text"], shape)
             found = K.anchors(symbols, bounds, shape.window, shape.gram)
             if not len(found.text):
@@ -252,7 +254,7 @@ def borders(shape: Shape, buckets: int) -> Callable[[Iterator[pa.RecordBatch]],
     """Step 2 on the side of the texts: windows of border regions, one row for equal ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in K.parts(whole, "text", TASK_BYTES)):
             batch = batch.filter(pc.greater(pc.list_value_length(batch["border"]), 0))
             symbols, bounds, _, _ = _symbols(batch["text"], shape)
             found = K.anchors(symbols, bounds, shape.window, shape.gram)
@@ -358,13 +360,9 @@ def cut_out(shape: Shape) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     """Last step: the spans to remove from each text, and the rest of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = np.diff(K.flat(batch["text"])[1])
-            lo = 0
-            while lo < len(sizes):
-                hi = lo + max(1, int(np.searchsorted(np.cumsum(sizes[lo:]), 2 * K.BLOCK)))
-                yield _kept(batch.slice(lo, hi - lo), shape)
-                lo = hi
+        for whole in batches:
+            for batch in K.parts(whole, "text"):
+                yield _kept(batch, shape)
 
     return run
 
