@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import minhash, prefix_free, suffix_tree, winnow
+from starmart.llm import language, minhash, mixing, prefix_free, sharding, suffix_tree, winnow
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,18 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.digest(winnow.contamination(documents(spark, sf_dir), benchmark(spark, sf_dir)))
 
 
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.placed(documents(spark, sf_dir)).select("doc_id", "source", "slot", "shard")
+
+
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(documents(spark, sf_dir))
+
+
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(documents(spark, sf_dir))
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_free.digest(prefix_free.without_repeated_bytes(documents(spark, sf_dir)))
 
@@ -37,6 +49,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2,
     "op3_substring_dedup": op3,
     "op4_benchmark_decontamination": op4,
+    "op5_sharding": op5,
+    "op6_source_mixing": op6,
+    "op7_language_id": op7,
     "op9_suffix_array_dedup": op9,
 }
 SQL: dict[str, str] = {}
