@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes or words handled at a time: bounds the memory of a task whatever the size of its input.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 WHITESPACE = bytes([0x20, *range(0x09, 0x0E)])
 _BASE = 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 1 << 64)

@@ -30,11 +30,22 @@ def folder(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
 
 
+#: Rows that tasks hand to Python at a time while a table is written; texts are long.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, read back from a table: later steps neither repeat this work nor depend on its shuffles."""
-    path = f"{folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, str(BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_BATCH) if before is None else spark.conf.set(_BATCH, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffles(spark: SparkSession) -> int:
