@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import language, minhash, mixing, prefix_free, sharding, suffix_tree, winnow
+from starmart.llm import language, minhash, mixing, prefix_free, quality, sharding, suffix_tree, toxicity, winnow
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,14 @@ def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_copies(documents(spark, sf_dir))
 
@@ -45,7 +53,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_free.digest(prefix_free.without_repeated_bytes(documents(spark, sf_dir)))
 
 
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.rated(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1,
     "op2_minhash_near_dedup": op2,
     "op3_substring_dedup": op3,
     "op4_benchmark_decontamination": op4,
@@ -53,5 +66,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_source_mixing": op6,
     "op7_language_id": op7,
     "op9_suffix_array_dedup": op9,
+    "op10_toxicity": op10,
 }
 SQL: dict[str, str] = {}
