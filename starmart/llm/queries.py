@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import language, minhash, mixing, prefix_free, quality, sharding, suffix_tree, toxicity, winnow
+from starmart.llm import language, minhash, mixing, prefix_free, quality, secrets, sharding, suffix_tree, toxicity, winnow
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(documents(spark, sf_dir))
 
 
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.secrets(documents(spark, sf_dir)))
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_free.digest(prefix_free.without_repeated_bytes(documents(spark, sf_dir)))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sharding": op5,
     "op6_source_mixing": op6,
     "op7_language_id": op7,
+    "op8_secret_scans": op8,
     "op9_suffix_array_dedup": op9,
     "op10_toxicity": op10,
 }
