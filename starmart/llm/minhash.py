@@ -226,3 +226,21 @@ def near_copies(docs: DataFrame) -> DataFrame:
         )
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def without_near_copies(docs: DataFrame) -> DataFrame:
+    """The documents, as they came, that near_copies keeps; of rows that share a kept id, the first by their content.
+
+    Only ids to drop are joined to the texts. Rows without id stay.
+    """
+    found = near_copies(docs)
+    dropped = tables.written(found.where("NOT kept").select("doc_id").distinct(), "dropped")
+    twice = tables.written(docs.groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1").select("doc_id"), "twice")
+    kept = docs.join(dropped, "doc_id", "left_anti")
+    if twice.isEmpty():
+        return kept.select(*docs.columns)
+    once = kept.join(twice, "doc_id", "left_semi")
+    first = once.groupBy("doc_id").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "doc_id"])).alias("first"))
+    return kept.join(twice, "doc_id", "left_anti").select(*docs.columns).union(
+        first.select("doc_id", "first.*").select(*docs.columns)
+    )
