@@ -105,7 +105,7 @@ def parts(batch: pa.RecordBatch, column: str, size: int = 2 * BLOCK) -> Iterator
     lo = 0
     while lo < len(sizes):
         before = int(sizes[lo - 1]) if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(sizes, before + size)))
+        hi = min(max(lo + 1, int(np.searchsorted(sizes, before + size))), lo + (1 << 16))
         yield batch.slice(lo, hi - lo)
         lo = hi
 
@@ -287,3 +287,11 @@ def covered(n: int, starts: np.ndarray, lengths: np.ndarray | int) -> np.ndarray
     np.add.at(change, starts, 1)
     np.add.at(change, starts + lengths, -1)
     return np.cumsum(change[:-1]) > 0
+
+
+def distinct(codes: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of a 48-bit code and a number below 2^16, with their counts. Whole numbers sort fastest."""
+    if len(of) and of.max() >= 1 << 16:
+        raise ValueError("too many rows in one slice")
+    both, counts = np.unique((codes << np.uint64(16)) | of.astype(np.uint64), return_counts=True)
+    return both >> np.uint64(16), (both & np.uint64(0xFFFF)).astype(np.int64), counts

@@ -40,7 +40,7 @@ def _padded() -> Column:
 
 
 def _grams(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(text, hash) of all n-grams of padded lower-case texts, block by block."""
+    """(text, hash of 48 bits) of all n-grams of padded lower-case texts, block by block."""
     for lo, hi, first, last in K.pieces(bounds, max(GRAMS)):
         symbols = _TABLE[data[lo:hi]]
         letter = symbols != 0
@@ -57,7 +57,7 @@ def _grams(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, n
             whole[: first - lo] = False
             whole[max(0, last - lo) :] = False
             at = np.flatnonzero(whole)
-            yield text[at], spans.all(n)[at] + np.uint64(n)
+            yield text[at], (spans.all(n)[at] + np.uint64(n)) >> np.uint64(16)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,16 +67,12 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = lang.indices.to_numpy().astype(np.int64)
         found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64)), *_grams(*K.flat(batch["text"]))]
         text, grams = (np.concatenate(x) for x in zip(*found))
-        pairs = np.zeros(len(text), [("gram", np.uint64), ("text", np.int64)])
-        pairs["gram"], pairs["text"] = grams, text
-        pairs = np.unique(pairs)
-        keys = np.zeros(len(pairs), [("gram", np.uint64), ("lang", np.int64)])
-        keys["gram"], keys["lang"] = pairs["gram"], code[pairs["text"]]
-        keys, counts = np.unique(keys, return_counts=True)
+        gram, of, _ = K.distinct(grams, text)
+        gram, of, counts = K.distinct(gram, code[of])
         yield pa.RecordBatch.from_arrays(
             [
-                lang.dictionary.take(pa.array(keys["lang"])),
-                pa.array(np.ascontiguousarray(keys["gram"]).view(np.int64)),
+                lang.dictionary.take(pa.array(of)),
+                pa.array(gram.view(np.int64)),
                 pa.array(counts.astype(np.int64)),
             ],
             names=["lang", "gram", "docs"],

@@ -59,15 +59,15 @@ def _codes(data: np.ndarray, bounds: np.ndarray) -> tuple[K.Words, list[tuple[in
     for n in STEMS:
         at = np.flatnonzero(words.end - words.start > n)
         start = words.start[at]
-        out.append((n, at, K.mix(spans.of(start, start + n) + np.uint64(n)) if n else words.hashes[at]))
+        out.append((n, at, (K.mix(spans.of(start, start + n) + np.uint64(n)) if n else words.hashes[at]) >> np.uint64(16)))
     return words, out
 
 
 def _hashes(words: list[str]) -> np.ndarray:
-    """What `kernels.words` makes of single words."""
+    """The numbers, of 48 bits, of single words."""
     data = [w.encode() for w in words]
     bounds = np.r_[0, np.cumsum([len(w) for w in data])].astype(np.int64)
-    return K.words(np.frombuffer(b"".join(data), np.uint8), bounds, _PLAIN).hashes
+    return K.words(np.frombuffer(b"".join(data), np.uint8), bounds, _PLAIN).hashes >> np.uint64(16)
 
 
 @dataclass
@@ -100,7 +100,7 @@ def measure(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
         into = stem if length else weight
         into[rows] = np.maximum(into[rows], _weights(hashes, lexicon))
     hit = weight > 0
-    you = np.isin(words.hashes, _hashes(SECOND_PERSON))
+    you = np.isin(words.hashes >> np.uint64(16), _hashes(SECOND_PERSON))
     text = np.repeat(np.arange(len(n)), np.diff(words.bounds))
     at = np.flatnonzero(hit)
     sums = np.r_[0, np.cumsum(you)]
@@ -112,7 +112,7 @@ def measure(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
     np.maximum.at(strongest_stem, text, stem)
     masked = K.words(data, bounds, _unmasked())
     shown = _per_text(hit, words.bounds)
-    hidden = np.maximum(_per_text(_weights(masked.hashes, lexicon) > 0, masked.bounds) - shown, 0)
+    hidden = np.maximum(_per_text(_weights(masked.hashes >> np.uint64(16), lexicon) > 0, masked.bounds) - shown, 0)
     size = np.maximum(np.diff(bounds), 1)
     capital = _per_text((data >= 0x41) & (data <= 0x5A), bounds)
     letters = capital + _per_text(((data >= 0x61) & (data <= 0x7A)) | (data >= 0xC0), bounds)
@@ -164,13 +164,10 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in (part for whole in batches for part in K.parts(whole, "text")):
         words, codes = _codes(*K.flat(batch["text"]))
         text = np.repeat(np.arange(batch.num_rows), np.diff(words.bounds))
-        pairs = np.zeros(sum(len(at) for _, at, _ in codes), [("code", np.uint64), ("text", np.int64)])
-        pairs["code"] = np.concatenate([hashes for _, _, hashes in codes])
-        pairs["text"] = np.concatenate([text[at] for _, at, _ in codes])
-        pairs = np.unique(pairs)
-        code, of, docs = np.unique(pairs["code"], return_inverse=True, return_counts=True)
-        toxic = batch["toxic"].to_numpy()[pairs["text"]]
-        hits = np.bincount(of, weights=toxic, minlength=len(code)).astype(np.int64)
+        code, of, _ = K.distinct(np.concatenate([c for _, _, c in codes]), np.concatenate([text[at] for _, at, _ in codes]))
+        toxic = batch["toxic"].to_numpy()[of]
+        code, first, docs = np.unique(code, return_index=True, return_counts=True)
+        hits = np.add.reduceat(toxic, first) if len(first) else toxic
         yield pa.RecordBatch.from_arrays(
             [pa.array(code.view(np.int64)), pa.array(hits), pa.array(docs.astype(np.int64))], names=["code", "hits", "docs"]
         )
