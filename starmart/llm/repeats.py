@@ -12,7 +12,8 @@ windows that choose one anchor (10 to 20 of them). Two steps decide them:
    per task and window.
 
 A task that sees an anchor with several such regions sends them to step 2 itself and reports the anchor once, so a
-frequent anchor never gathers its regions in one place. All hashes compared across documents have 64 bits or more.
+frequent anchor never gathers its regions in one place. Hashes compared across documents have 48 bits besides those that
+choose their bucket, and regions those of their anchor too; buckets grow in number with the data.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from starmart.llm import kernels as K
 from starmart.llm import tables
 
 #: Rows that a task takes in at once in the two comparing steps.
-GROUP_ROWS = 250_000
+GROUP_ROWS = 120_000
 #: Text that a task looks at in one go; equal regions in it become one row.
 TASK_BYTES = 8 << 20
 _U48 = np.uint64((1 << 48) - 1)
@@ -97,6 +98,17 @@ def _shared(key: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return out
 
 
+def _by_unit(ids: np.ndarray, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted by unit and document, and where each unit begins: with its least document."""
+    order = np.lexsort((ids, units))
+    ids, units = ids[order], units[order]
+    return ids, units, _heads(units)
+
+
+def _spread(numbers: np.ndarray, buckets: int) -> np.ndarray:
+    return (K.mix(numbers.astype(np.uint64) + _ODD) % np.uint64(buckets)).astype(np.int32)
+
+
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return (((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
 
@@ -186,9 +198,9 @@ def regions(shape: Shape, buckets: int) -> Callable[[Iterator[pa.RecordBatch]],
             _, first = np.unique(key[border], return_index=True)
             sent = np.concatenate([np.flatnonzero(~border), np.flatnonzero(border)[first]])
             out = list(_packed(_REGIONS, _bucket(key, buckets)[sent], least[sent], rows[sent]))
-            for kind, (docs, own_units) in ((_DONE, done), (_BORDER, own)):
-                spread = (K.mix(docs.astype(np.uint64) + _ODD) % np.uint64(buckets)).astype(np.int32)
-                out += _packed(kind, spread, docs, _as_units(own_units))
+            out += _packed(_DONE, _spread(done[0], buckets), done[0], _as_units(done[1]))
+            # border regions meet by their content, so their anchor gathers nothing and one document asks for each
+            out += _packed(_BORDER, _spread(own[1], buckets), own[0], _as_units(own[1]))
             for i in range(0, len(out), 5000):
                 yield _batch(out[i : i + 5000], _PACKED)
 
@@ -197,10 +209,13 @@ def regions(shape: Shape, buckets: int) -> Callable[[Iterator[pa.RecordBatch]],
 
 def compare_regions(table: pa.Table) -> pa.Table:
     """Step 1 on the side of the anchors: later documents of a region, and regions that may share windows."""
-    out = []
-    for kind in (_DONE, _BORDER):
-        ids, rows = _unpacked(table, kind, _UNIT)
-        out.append(_found(ids, kind, _from_units(rows)))
+    ids, rows = _unpacked(table, _DONE, _UNIT)
+    out = [_found(ids, _DONE, _from_units(rows))]
+    ids, rows = _unpacked(table, _BORDER, _UNIT)
+    ids, units, first = _by_unit(ids, _from_units(rows))
+    out.append(_found(ids[first], _BORDER, units[first]))
+    later = ids > np.repeat(ids[first], _sizes(first, len(ids)))
+    out.append(_found(ids[later], _DONE, units[later]))
     ids, rows = _unpacked(table, _REGIONS, _ROW)
     units = rows["low"].astype(np.uint64) | (rows["high"].astype(np.uint64) << np.uint64(32))
     order = np.lexsort((ids, units, rows["key"]))
@@ -268,9 +283,8 @@ def borders(shape: Shape, buckets: int) -> Callable[[Iterator[pa.RecordBatch]],
             later = ids[order] > np.repeat(least, _sizes(heads, len(ids)))
             docs, done = _once(ids[order][later], hashes[order][later])
             one = hashes[order[heads]]
-            out = list(_packed(_REGIONS, _bucket(one, buckets), least, one))
-            spread = (K.mix(docs.astype(np.uint64) + _ODD) % np.uint64(buckets)).astype(np.int32)
-            out += _packed(_DONE, spread, docs, done)
+            out = list(_packed(_REGIONS, _bucket(one, buckets), least, _as_units(one & _U48)))
+            out += _packed(_DONE, _spread(docs, buckets), docs, _as_units(done & _U48))
             for i in range(0, len(out), 5000):
                 yield _batch(out[i : i + 5000], _PACKED)
 
@@ -279,14 +293,11 @@ def borders(shape: Shape, buckets: int) -> Callable[[Iterator[pa.RecordBatch]],
 
 def compare_windows(table: pa.Table) -> pa.Table:
     """Step 2 on the side of the windows: the documents in which one starts that a smaller document holds."""
-    whole = np.dtype("<u8")
-    ids, hashes = _unpacked(table, _DONE, whole)
-    out = [_found(ids, _DONE, hashes)]
-    ids, hashes = _unpacked(table, _REGIONS, whole)
-    order = np.lexsort((ids, hashes))
-    ids, hashes = ids[order], hashes[order]
-    heads = _heads(hashes)
-    later = ids > np.repeat(ids[heads], _sizes(heads, len(ids)))
+    ids, rows = _unpacked(table, _DONE, _UNIT)
+    out = [_found(ids, _DONE, _from_units(rows))]
+    ids, rows = _unpacked(table, _REGIONS, _UNIT)
+    ids, hashes, first = _by_unit(ids, _from_units(rows))
+    later = ids > np.repeat(ids[first], _sizes(first, len(ids)))
     out.append(_found(ids[later], _DONE, hashes[later]))
     return pa.Table.from_batches(out)
 
@@ -311,7 +322,7 @@ def _kept(batch: pa.RecordBatch, shape: Shape) -> pa.RecordBatch:
     done = _among(found.text, units, of_row, wanted)
     rows, starts, hashes = _border_windows(batch, symbols, found, units, shape)
     wanted, of_row = _lists(batch["hits"])
-    hit = starts[_among(rows, hashes, of_row, wanted)]
+    hit = starts[_among(rows, hashes & _U48, of_row, wanted)]
     gone = K.covered(len(symbols), found.first[done], found.last[done] - found.first[done] + shape.window)
     gone |= K.covered(len(symbols), hit, shape.window)
     edge = np.zeros(len(symbols) + 1, bool)

@@ -31,7 +31,7 @@ def folder(spark: SparkSession) -> str:
 
 
 #: Rows that tasks hand to Python at a time while a table is written; texts are long.
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
