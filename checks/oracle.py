@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from checks.fixtures import DAY_DUCK, LK_COUNTRY, LK_MODE, LK_PORT, arrivals_sql
+from checks.fixtures import LK_COUNTRY, LK_MODE, LK_PORT, arrivals_sql
 
-# {visitor} is left open for the caller.
+# {day} and {visitor} are left open for the caller.
 PREFIX = f"""
 WITH lk_port AS ({LK_PORT}),
 lk_country AS ({LK_COUNTRY}),
 lk_mode AS ({LK_MODE}),
-arrivals AS ({arrivals_sql(DAY_DUCK, visitor="{visitor}")}),
+arrivals AS ({arrivals_sql("{day}", visitor="{visitor}")}),
 enriched AS (
   SELECT a.* REPLACE (COALESCE(visatype, 'Unknown') AS visatype),
          DATE '1960-01-01' + CAST(arrdate AS INTEGER) AS arrdate_dt,

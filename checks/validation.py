@@ -91,12 +91,25 @@ UNION ALL SELECT 'rule', 'dates', count(*) FILTER (rule_dates) FROM judged
 UNION ALL SELECT 'rule', 'age', count(*) FILTER (rule_age) FROM judged
 UNION ALL SELECT 'rule', 'citizenship', count(*) FILTER (rule_citizenship) FROM judged
 UNION ALL SELECT 'rule', 'residence', count(*) FILTER (rule_residence) FROM judged
+UNION ALL SELECT 'missing', 'visa_type', count(*) FILTER (visatype IS NULL) FROM arrivals
+UNION ALL SELECT 'missing', 'departure', count(*) FILTER (depdate IS NULL) FROM arrivals
 """,
 )
 def _(d):
     return rules.metrics(d.flagged, d.rules)
 
 
+@check(
+    "v9_missing_counts",
+    """
+SELECT 'visa_type' AS missing, count(*) - count(visatype) AS rows FROM arrivals
+UNION ALL SELECT 'departure', count(*) - count(depdate) FROM arrivals
+""",
+)
+def _(d):
+    return rules.missing_counts(d.flagged)
+
+
 @check(
     "v11_quarantine",
     """

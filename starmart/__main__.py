@@ -7,6 +7,7 @@ import logging
 from collections.abc import Sequence
 
 from starmart import session
+from starmart.operators import dims
 from starmart.plans import etl
 from starmart.sources import sinks
 
@@ -22,11 +23,13 @@ def parser() -> argparse.ArgumentParser:
     args.add_argument("--s3-bucket", default=None, help="bucket name, for the log only")
     args.add_argument("--s3-prefix", default="immigration", help="folder within the bucket, for the log only")
     args.add_argument("--format", choices=sinks.FORMATS, default="parquet", help="format of the star tables")
-    args.add_argument("--drop-columns", nargs="*", default=[], help="raw columns to leave out of the scan")
+    args.add_argument("--drop-columns", nargs="*", default=[], help="raw columns to leave out of the scan, and so of the quarantine")
     args.add_argument("--by-month", action="store_true", help="lay the fact table out by arrival month")
     args.add_argument("--skip-corrupt", action="store_true", help="pass over unreadable input files")
     args.add_argument("--flat-quarantine", action="store_true", help="rejected rows as flat, repaired columns")
-    args.add_argument("--visa-per-code", action="store_true", help="one row per visa type in the visa table")
+    args.add_argument("--visa-full-grain", action="store_true", help="visa table by post and class, not one row per type")
+    args.add_argument("--date-start", default=dims.DATE_START, help="first day of the date table, if no fact is earlier")
+    args.add_argument("--date-end", default=dims.DATE_END, help="last day of the date table, if no fact is later")
     return args
 
 
@@ -45,7 +48,9 @@ def main(argv: Sequence[str] | None = None) -> int:
         by_month=args.by_month,
         skip_corrupt=args.skip_corrupt,
         flat_quarantine=args.flat_quarantine,
-        visa_per_code=args.visa_per_code,
+        visa_full_grain=args.visa_full_grain,
+        date_start=args.date_start,
+        date_end=args.date_end,
     )
     for name, rows in result.rows.items():
         log.info("%s: %d rows", name, rows)

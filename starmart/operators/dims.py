@@ -13,14 +13,21 @@ from starmart.operators.joins import attach, described, sized
 from starmart.sources.lookups import Lookups
 
 
-def date(spark: SparkSession, start: str = "1960-01-01", end: str = "2030-01-01") -> DataFrame:
-    """One row per day from start to end, both included."""
+# Days the date table holds in any case; those of the facts are added.
+DATE_START, DATE_END = "1960-01-01", "2030-01-01"
+
+
+def date(
+    spark: SparkSession, start: str = DATE_START, end: str = DATE_END, clean: DataFrame | None = None
+) -> DataFrame:
+    """One row per day from start to end, both included, and per other day that `clean` rows arrive or depart on."""
     first, last = Date.fromisoformat(start), Date.fromisoformat(end)
     day = F.col("full_date")
+    days = spark.range((last - first).days + 1).select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("full_date"))
+    if clean is not None:
+        days = days.unionByName(days_of(clean).where(~day.between(F.lit(first), F.lit(last))))
     return (
-        spark.range((last - first).days + 1)
-        .select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("full_date"))
-        .select(
+        days.select(
             dates.date_id(day).alias("date_id"),
             day,
             F.year(day).alias("year"),
@@ -35,6 +42,13 @@ def date(spark: SparkSession, start: str = "1960-01-01", end: str = "2030-01-01"
     )
 
 
+def days_of(clean: DataFrame) -> DataFrame:
+    """Days on which rows arrive or depart, each once."""
+    ids = [F.col(c) for c in ("arrival_date_id", "departure_date_id") if c in clean.columns]
+    listed = clean.select(F.explode(F.array(*ids, F.lit(None).cast("int"))).alias("id")).where("id is not null").distinct()
+    return listed.select(F.expr("make_date(id div 10000, id div 100 % 100, id % 100)").alias("full_date"))
+
+
 # Visitor columns taken from the arrivals: target, source. Codes and gender stay as they are, the rest are numbers.
 _VISITOR_SOURCES = (
     ("country_of_citizenship_code", "i94cit"),
@@ -125,33 +139,50 @@ def visa(clean: DataFrame) -> DataFrame:
         visas.refine_purpose(purpose, F.col("visa_category")).alias("visa_purpose"),
         "visa_category",
     )
-    return with_unknown_member(rows)
+    return with_unknown_member(rows, clean)
 
 
-def with_unknown_member(visa_rows: DataFrame) -> DataFrame:
-    """Add the row of the 'Unknown' visa type unless there is one; decided within the plan, not by a count."""
+def _unknown_member(clean: DataFrame) -> DataFrame:
     unknown = F.lit(codes.UNKNOWN)
-    member = visa_rows.sparkSession.range(1).select(
+    return clean.sparkSession.range(1).select(
         unknown.alias("visa_code"),
         unknown.alias("visa_issuing_post"),
         unknown.alias("visa_purpose"),
         F.lit(None).cast("string").alias("visa_category"),
     )
-    known = visa_rows.where(F.col("visa_code") == unknown).select("visa_code")
-    return visa_rows.unionByName(member.join(known, "visa_code", "left_anti"))
+
+
+def with_unknown_member(visa_rows: DataFrame, clean: DataFrame) -> DataFrame:
+    """Add the row of the 'Unknown' visa type unless `clean` rows have that type; one flag decides, within the plan."""
+    present = clean.select(F.bool_or(F.col("visatype") == codes.UNKNOWN)).scalar()
+    return visa_rows.unionByName(_unknown_member(clean).where(~F.coalesce(present, F.lit(False))))
 
 
 def visa_by_code(clean: DataFrame) -> DataFrame:
     """One row per visa type, as the table's key says: joining it never multiplies rows.
 
-    The first post in order stands for the type; a row with a category goes before one without.
+    The first post in order stands for the type; a row with a category goes before one without. One aggregate gives
+    a row per type; the 'Unknown' type, added to these few rows, gives way to one that the data has.
     """
-    rows = visa(clean)
-    pick = F.min(F.struct(F.col("visa_category").isNull(), "visa_category", "visa_purpose").alias("pick"))
+    unknown, none = F.lit(codes.UNKNOWN), F.lit(None).cast("string")
+    post = F.coalesce("visapost", unknown) if "visapost" in clean.columns else unknown
+    category = visas.visa_category(F.col("i94visa")) if "i94visa" in clean.columns else none
+    purpose = visas.refine_purpose(visas.visa_purpose(F.col("visatype")), category)
+    types = (
+        clean.select(F.col("visatype").alias("visa_code"), post.alias("post"), category.alias("visa_category"), purpose.alias("visa_purpose"))
+        .groupBy("visa_code")
+        .agg(
+            F.min("post").alias("visa_issuing_post"),
+            F.min(F.struct(F.col("visa_category").isNull(), "visa_category", "visa_purpose")).alias("pick"),
+        )
+        .select("visa_code", "visa_issuing_post", "pick.visa_purpose", "pick.visa_category", F.lit(0).alias("added"))
+    )
+    rest = ("visa_issuing_post", "visa_purpose", "visa_category")
     return (
-        rows.groupBy("visa_code")
-        .agg(F.min("visa_issuing_post").alias("visa_issuing_post"), pick.alias("pick"))
-        .select("visa_code", "visa_issuing_post", "pick.visa_purpose", "pick.visa_category")
+        types.unionByName(_unknown_member(clean).withColumn("added", F.lit(1)))
+        .groupBy("visa_code")
+        .agg(F.min(F.struct("added", *rest)).alias("row"))
+        .select("visa_code", *[f"row.{c}" for c in rest])
     )
 
 

@@ -37,9 +37,13 @@ def with_overstay(df: DataFrame) -> DataFrame:
     return df
 
 
+VISA_MISSING = "visa_type_missing"
+
+
 def with_visa_type(df: DataFrame) -> DataFrame:
-    """Missing visa types become 'Unknown'."""
+    """Missing visa types become 'Unknown'; which ones were missing stays on record."""
     if "visatype" in df.columns:
+        df = df.withColumn(VISA_MISSING, F.col("visatype").isNull())
         df = df.withColumn("visatype", F.coalesce("visatype", F.lit(codes.UNKNOWN)))
     return df
 

@@ -10,8 +10,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.functions.codes import is_missing
-from starmart.operators.enrich import HIT_COLUMNS
+from starmart.functions.codes import is_missing, to_number
+from starmart.operators.enrich import HIT_COLUMNS, VISA_MISSING
 from starmart.sources.arrivals import ORIGIN, SOURCE_FILE, SOURCE_ROW
 
 ORIGINAL = "original_record"
@@ -45,6 +45,7 @@ def default_rules(df: DataFrame) -> list[Rule]:
         present = ~is_missing(df, code) if code in df.columns else F.lit(False)
         return present & ~F.col(known)
 
+    negative_age = to_number(F.col("i94bir")) < 0 if "i94bir" in df.columns else F.lit(False)
     # The reason texts, and the order of the rules.
     return [
         Rule(
@@ -61,7 +62,7 @@ def default_rules(df: DataFrame) -> list[Rule]:
             ("arrdate_dt", "depdate_dt"),
             ("departure_date_id",),
         ),
-        Rule("age", "Negative age value", F.col("i94bir") < 0, ("i94bir",), ("i94bir",)),
+        Rule("age", "Negative age value", negative_age, ("i94bir",), ("i94bir",)),
         Rule(
             "citizenship",
             "Unknown country citizenship code",
@@ -144,7 +145,7 @@ def split(flagged: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFra
 
 
 def _helpers(flagged: DataFrame) -> list[str]:
-    return [ORIGINAL, *ORIGIN, *HIT_COLUMNS, *[c for c in flagged.columns if c.startswith("rule_")]]
+    return [ORIGINAL, *ORIGIN, *HIT_COLUMNS, VISA_MISSING, *[c for c in flagged.columns if c.startswith("rule_")]]
 
 
 def quarantine(rejected: DataFrame) -> DataFrame:
@@ -184,6 +185,17 @@ def summary(rejected: DataFrame) -> DataFrame:
     )
 
 
+# Flags that are counted but reject nothing: name of the count, column.
+CHECKS = (("visa_type", VISA_MISSING), ("departure", "is_overstay"))
+
+
+def missing_counts(flagged: DataFrame) -> DataFrame:
+    """Rows without a visa type, and without a departure, whatever the rules say. One pass, one row per check."""
+    live = [(name, flag) for name, flag in CHECKS if flag in flagged.columns]
+    counted = flagged.agg(*[F.count_if(flag).alias(name) for name, flag in live])
+    return counted.unpivot([], [name for name, _ in live], "missing", "rows")
+
+
 def rule_counts(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows that break each rule, over all rows, whatever other rules say. One pass, one row per rule."""
     live = applied(flagged, rules)
@@ -192,14 +204,15 @@ def rule_counts(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def metrics(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Quality metrics (metric, item, rows): total, rejected, per reason, per rule, skipped rules.
+    """Quality metrics (metric, item, rows): total, rejected, per reason, per rule, skipped rules, missing values.
 
     One pass: counts are taken per reason, and these few rows are then laid out as the table.
     """
     live = applied(flagged, rules)
     flags = {rule.flag for rule in live}
+    checks = [(name, flag) for name, flag in CHECKS if flag in flagged.columns]
     counted = flagged.groupBy("rejection_reason").agg(
-        F.count(F.lit(1)).alias("rows"), *[F.count_if(rule.flag).alias(rule.flag) for rule in live]
+        F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(c) for c in [*[rule.flag for rule in live], *[flag for _, flag in checks]]]
     )
     reason = F.col("rejection_reason")
 
@@ -212,6 +225,7 @@ def metrics(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         entry("total", F.lit(None), F.col("rows")),
         entry("rejected", F.lit(None), F.when(reason.isNotNull(), F.col("rows"))),
         *[entry("rule", F.lit(rule.name), F.col(rule.flag)) for rule in live],
+        *[entry("missing", F.lit(name), F.col(flag)) for name, flag in checks],
         entry("reason", reason, F.when(reason.isNotNull(), F.col("rows"))),
     ]
     # Zero rows of what is always reported, so that it is there for an empty table too.
@@ -219,6 +233,7 @@ def metrics(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         entry("total", F.lit(None), F.lit(0)),
         entry("rejected", F.lit(None), F.lit(0)),
         *[entry("rule" if rule.flag in flags else "skipped", F.lit(rule.name), F.lit(0)) for rule in rules],
+        *[entry("missing", F.lit(name), F.lit(0)) for name, _ in checks],
     ]
     zeros = flagged.sparkSession.range(1).select(F.inline(F.array(*always)))
     return (

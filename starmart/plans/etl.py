@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from starmart import schemas, session
 from starmart.operators import dims, fact, rules
-from starmart.operators.enrich import enrich
+from starmart.operators.enrich import VISA_MISSING, enrich
 from starmart.operators.joins import estimated_bytes
 from starmart.operators.rules import Rule
 from starmart.sources import arrivals, lookups, sinks
@@ -66,7 +66,7 @@ def staged_columns(checked: DataFrame, checks: Sequence[Rule]) -> DataFrame:
     """What the outputs need of the checked rows, and no more."""
     live = rules.applied(checked, checks)
     repaired = [name for rule in live for name in rule.nullify]
-    wanted = dict.fromkeys([*_STAR_SOURCES, *repaired, *[r.flag for r in live], "is_rejected", "rejection_reason"])
+    wanted = dict.fromkeys([*_STAR_SOURCES, VISA_MISSING, *repaired, *[r.flag for r in live], "is_rejected", "rejection_reason"])
     rejected_only = [
         F.when(F.col("is_rejected"), F.col(name)).alias(name)
         for name in _REJECTED_ONLY
@@ -75,14 +75,24 @@ def staged_columns(checked: DataFrame, checks: Sequence[Rule]) -> DataFrame:
     return checked.select([name for name in wanted if name in checked.columns] + rejected_only)
 
 
-def star(clean: DataFrame, named: Lookups) -> dict[str, DataFrame]:
-    """The star tables of clean rows; a table without its columns or lookup is left out."""
+def star(
+    clean: DataFrame,
+    named: Lookups,
+    visa_full_grain: bool = False,
+    date_start: str = dims.DATE_START,
+    date_end: str = dims.DATE_END,
+) -> dict[str, DataFrame]:
+    """The star tables of clean rows; a table without its columns or lookup is left out.
+
+    The visa table has one row per visa type, or with `visa_full_grain` one per post and class of a type. The date
+    table covers the given days and every day of the facts.
+    """
     columns = set(clean.columns)
-    tables = {schemas.DIM_DATE: dims.date(clean.sparkSession)}
+    tables = {schemas.DIM_DATE: dims.date(clean.sparkSession, date_start, date_end, clean)}
     if "cicid" in columns:
         tables[schemas.DIM_VISITOR] = dims.visitor(clean, named)
     if "visatype" in columns:
-        tables[schemas.DIM_VISA] = dims.visa(clean)
+        tables[schemas.DIM_VISA] = dims.visa(clean) if visa_full_grain else dims.visa_by_code(clean)
     if "i94port" in columns and schemas.PORT in named:
         tables[schemas.DIM_PORT] = dims.port(clean, named)
     tables[schemas.FACT] = fact.arrivals(clean)
@@ -106,7 +116,9 @@ def run(
     by_month: bool = False,
     skip_corrupt: bool = False,
     flat_quarantine: bool = False,
-    visa_per_code: bool = False,
+    visa_full_grain: bool = False,
+    date_start: str = dims.DATE_START,
+    date_end: str = dims.DATE_END,
 ) -> Result:
     """Run the job and write all tables. Errors are raised; nothing is passed over in silence."""
     named = lookups.read_named(spark, staging_path)
@@ -124,11 +136,7 @@ def run(
         staged = spark.read.parquet(stage)
         clean, rejected = rules.split(staged, checks)
         visitors = staged.select([c for c in VISITOR_SOURCES if c in staged.columns])
-        session.size_shuffles(spark, estimated_bytes(visitors))
-
-        outputs = star(clean, named)
-        if visa_per_code and schemas.DIM_VISA in outputs:
-            outputs[schemas.DIM_VISA] = dims.visa_by_code(clean)
+        outputs = star(clean, named, visa_full_grain, date_start, date_end)
         result.skipped_tables = [name for name in STAR if name not in outputs]
 
         writes = {name: (table, f"{output}/{name}", fmt) for name, table in outputs.items()}
@@ -136,12 +144,14 @@ def run(
             month = with_month(outputs[schemas.FACT])
             writes[schemas.FACT] = (month, f"{output}/{schemas.FACT}", fmt, ARRIVAL_MONTH)
         writes[schemas.METRICS] = (rules.metrics(staged, checks), f"{output}/{schemas.METRICS}")
-        if not rejected.select("is_rejected").isEmpty():
-            rows = rules.quarantine_flat(rejected) if flat_quarantine else rules.quarantine(rejected)
-            writes[schemas.REJECTED] = (rows, f"{rejected_root}/{schemas.REJECTED}")
-            writes[schemas.SUMMARY] = (rules.summary(rejected), f"{rejected_root}/{schemas.SUMMARY}")
+        # Both are written without rejections too, so that those of an earlier run don't stay.
+        rows = rules.quarantine_flat(rejected) if flat_quarantine else rules.quarantine(rejected)
+        writes[schemas.REJECTED] = (rows, f"{rejected_root}/{schemas.REJECTED}")
+        writes[schemas.SUMMARY] = (rules.summary(rejected), f"{rejected_root}/{schemas.SUMMARY}")
+        for name in result.skipped_tables:
+            session.remove(spark, f"{output}/{name}")
         # The tables do not depend on each other: small ones fill the gaps that the last tasks of large ones leave.
-        with ThreadPoolExecutor(len(writes)) as pool:
+        with session.sized_shuffles(spark, estimated_bytes(visitors)), ThreadPoolExecutor(len(writes)) as pool:
             counts = pool.map(lambda write: sinks.write_table(*write), writes.values())
             result.rows = dict(zip(writes, counts))
     finally:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -31,18 +34,25 @@ def shared_folder(spark: SparkSession, fallback: str) -> str:
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 BYTES_PER_PARTITION = 256 * 1024 * 1024
-MOST_PARTITIONS = 20_000
 
 
-def size_shuffles(spark: SparkSession, shuffled_bytes: int) -> None:
-    """Raise the number of partitions shuffles start with to suit the data; never lower it.
+@contextmanager
+def sized_shuffles(spark: SparkSession, shuffled_bytes: int) -> Iterator[None]:
+    """Within, shuffles start with as many partitions as the data needs, or with more if the session asks for more.
 
-    Adaptive execution merges partitions that turn out small, but does not split the input of an aggregation.
+    Adaptive execution merges partitions that turn out small, but does not split the input of an aggregation. The
+    caller's setting comes back at the end.
     """
-    wanted = min(shuffled_bytes // BYTES_PER_PARTITION, MOST_PARTITIONS)
-    current = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
-    if wanted > int(current):
-        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    wanted = shuffled_bytes // BYTES_PER_PARTITION
+    if wanted <= int(before or spark.conf.get("spark.sql.shuffle.partitions")):
+        yield
+        return
+    spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    try:
+        yield
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS) if before is None else spark.conf.set(INITIAL_PARTITIONS, before)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -6,7 +6,6 @@ tables are built by the batch job.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -27,28 +26,27 @@ def start(
     checkpoint_path: str,
     schema: T.StructType = schemas.ARRIVALS,
     rule_set: etl.RuleSet = rules.default_rules,
+    files_per_trigger: int = 1000,
     **trigger,
 ) -> StreamingQuery:
     """Start the stream; `trigger` goes to `DataStreamWriter.trigger`, e.g. `availableNow=True`.
 
     Each batch writes to its own folder `batch_id=N`, which a repeated batch overwrites: after a failure every row
-    is there once.
+    is there once. Both outputs are read from the files of the batch, `files_per_trigger` at most: the rules need no
+    shuffle, so checking twice costs less than holding a batch somewhere.
     """
-    raw = arrivals.with_origin(spark.readStream.schema(schema).parquet(input_path))
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    raw = arrivals.with_origin(reader.parquet(input_path))
     checked, checks = etl.check(raw, named, rule_set)
     staged = etl.staged_columns(checked, checks)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist(StorageLevel.DISK_ONLY)
-        try:
-            clean, rejected = rules.split(batch, checks)
-            for rows, path in (
-                (fact.arrivals(clean), f"{output_path}/{schemas.FACT}"),
-                (rules.quarantine(rejected), f"{rejected_path}/{schemas.REJECTED}"),
-            ):
-                rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        clean, rejected = rules.split(batch, checks)
+        for rows, path in (
+            (fact.arrivals(clean), f"{output_path}/{schemas.FACT}"),
+            (rules.quarantine(rejected), f"{rejected_path}/{schemas.REJECTED}"),
+        ):
+            rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     writer = staged.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path)
     return (writer.trigger(**trigger) if trigger else writer).start()

@@ -39,3 +39,11 @@ def test_expected_counts(spark):
     assert spec.queries()["b3_visa_dim"](spark, SF_DIR).count() == 120
     assert spec.queries()["b4_port_dim"](spark, SF_DIR).count() == 24
     assert spec.entry(spark).columns == ["country_of_citizenship", "visa_purpose", "visitor_count"]
+
+
+def test_rule_checks_move_no_arrivals(spark):
+    """Lookups are broadcast: nothing is shuffled by a code."""
+    plan = registry.data(spark, SF_DIR, "k").flagged._jdf.queryExecution().executedPlan().toString()
+    for code in ("i94port", "i94cit", "i94res", "i94mode"):
+        assert f"hashpartitioning({code}" not in plan and f"hashpartitioning(cast({code}" not in plan
+    assert "SortMergeJoin [i94port" not in plan

@@ -42,7 +42,7 @@ def test_whole_job(spark, paths):
         "dim_visa": 2,
         "dim_port": 1,
         "fact_immigration": 4,
-        "quality_metrics": 12,
+        "quality_metrics": 14,
         "rejected_immigration_records": 5,
         "rejection_summary": 5,
     }
@@ -78,10 +78,30 @@ def test_quarantine_ids_stay_the_same(spark, paths):
     assert len(ids[0]) == 6 and ids[0] == ids[1]
 
 
-def test_no_rejected_rows(spark, paths):
-    where = paths({}, {"cicid": 2.0})
-    result = etl.run(spark, *where)
-    assert schemas.REJECTED not in result.rows and not os.path.exists(where[3])
+def test_rejections_of_an_earlier_run_go(spark, paths):
+    where = paths({}, BAD["age"])
+    assert etl.run(spark, *where).rows[schemas.REJECTED] == 1
+    spark.read.parquet(where[0]).where("i94bir >= 0").coalesce(1).write.parquet(where[0] + "_good")
+    again = etl.run(spark, where[0] + "_good", *where[1:])
+    assert again.rows[schemas.REJECTED] == 0 and again.rows[schemas.SUMMARY] == 0
+    for name in (schemas.REJECTED, schemas.SUMMARY):
+        assert spark.read.parquet(f"{where[3]}/{name}").count() == 0
+
+
+def test_reports_count_every_fact_once(spark, paths):
+    posts = ("POST", "OTHER", None)
+    late = {"arrdate": 30000.0, "depdate": 30010.0}
+    rows = [{"cicid": float(i), "visapost": posts[i % 3], "i94visa": 1.0 + i % 2, **(late if i > 4 else {})} for i in range(9)]
+    where = paths(*rows)
+    for full_grain in (False, True):
+        etl.run(spark, *where, visa_full_grain=full_grain)
+        tables = reports.load(spark, where[2])
+        assert sum(r.visitor_count for r in reports.visa_by_country(tables).collect()) == 9
+        assert sum(r.visitor_count for r in reports.stay_by_port(tables).collect()) == 9
+    etl.run(spark, *where, date_start="2016-01-01", date_end="2016-12-31", fmt="csv")
+    tables = reports.load(spark, where[2], fmt="csv")
+    assert tables[schemas.DIM_DATE].count() == 366 + 2
+    assert sum(r.visitor_count for r in reports.stay_by_port(tables).collect()) == 9
 
 
 def test_stage_lies_beside_the_output_without_a_shared_folder(spark, paths, monkeypatch):
@@ -115,7 +135,7 @@ def test_command_line(spark, paths):
     where = paths({}, {"arrdate": 20610.0, "depdate": None}, BAD["port"])
     names = ("--input-path", "--staging-path", "--output-path", "--rejected-path")
     options = [part for pair in zip(names, where) for part in pair]
-    assert cli.main([*options, "--by-month", "--flat-quarantine", "--visa-per-code", "--s3-bucket", "any"]) == 0
+    assert cli.main([*options, "--by-month", "--flat-quarantine", "--visa-full-grain", "--s3-bucket", "any"]) == 0
     fact = spark.read.parquet(f"{where[2]}/{schemas.FACT}")
     assert {r.arrival_month for r in fact.collect()} == {201604, 201606}
     flat = spark.read.parquet(f"{where[3]}/{schemas.REJECTED}")

@@ -139,4 +139,10 @@ def test_rate_by_day(arrivals, named):
 def test_metrics_of_an_empty_table(arrivals, named):
     df, checks = etl.check(arrivals({}).limit(0), named)
     got = {(r.metric, r.item): r.rows for r in rules.metrics(df, checks).collect()}
-    assert got == {("total", None): 0, ("rejected", None): 0, **{("rule", c.name): 0 for c in checks}}
+    assert got == {("total", None): 0, ("rejected", None): 0, **{("rule", c.name): 0 for c in checks}, ("missing", "visa_type"): 0, ("missing", "departure"): 0}
+
+
+def test_text_ages_break_nothing(arrivals, named):
+    rows = arrivals({}, {"cicid": 2.0}).withColumn("i94bir", F.when(F.col("cicid") == 2.0, "n/a").otherwise("-3"))
+    df, checks = etl.check(rows, named)
+    assert {r.rule: r.rows for r in rules.rule_counts(df, checks).collect()}["age"] == 1

@@ -7,14 +7,17 @@ GB = 1024**3
 
 def test_shuffle_partitions_follow_the_data(spark):
     def size(bytes_):
-        session.size_shuffles(spark, bytes_)
-        return spark.conf.get(session.INITIAL_PARTITIONS, None)
-
+        with session.sized_shuffles(spark, bytes_):
+            return spark.conf.get(session.INITIAL_PARTITIONS, None)
+
+    assert size(GB // 10) is None
+    assert size(100 * GB) == "400"
+    assert size(100_000 * GB) == "400000"
+    assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
+    spark.conf.set(session.INITIAL_PARTITIONS, "500")
     try:
-        assert size(GB // 10) is None
-        assert size(100 * GB) == "400"
-        assert size(GB) == "400"
-        assert size(100_000 * GB) == "20000"
+        assert size(GB) == "500" and size(200 * GB) == "800"
+        assert spark.conf.get(session.INITIAL_PARTITIONS) == "500"
     finally:
         spark.conf.unset(session.INITIAL_PARTITIONS)
 
