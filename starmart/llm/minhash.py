@@ -222,7 +222,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
         .select(
             "doc_id",
             "n_shingles",
-            F.when(F.col("n_shingles") > 0, F.coalesce("reach", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+            F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("reach", "doc_id"))
+            .otherwise(F.col("doc_id"))
+            .alias("component_id"),
         )
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
