@@ -194,8 +194,8 @@ def pieces(bounds: np.ndarray, margin: int) -> Iterator[tuple[int, int, int, int
 class Anchors:
     """Sampled positions of sequences. Each owns the windows first..last that choose it.
 
-    `key` hashes the anchor, `region` all that its windows cover, `left` and `right` the context that at least one
-    side of any window with this anchor holds (0 where the sequence ends before).
+    `key` hashes the anchor, `region` all that its windows cover, `left` and `right` the context next to the anchor
+    that any of these windows holds on one side at least (0 where the region ends before).
     """
 
     text: np.ndarray
@@ -238,10 +238,9 @@ def anchors(symbols: np.ndarray, bounds: np.ndarray, window: int, gram: int) ->
         head = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
         first, last, at = start[head], start[np.r_[head[1:], len(start)] - 1], own[head]
         text = np.searchsorted(bounds, lo + first, "right") - 1
-        from_, to = np.maximum(bounds[text] - lo, 0), np.minimum(bounds[text + 1] - lo, n)
-        left = np.where(at - reach >= from_, spans.of(np.maximum(at - reach, 0), at) | np.uint64(1), np.uint64(0))
+        left = np.where(at - reach >= first, spans.of(np.maximum(at - reach, 0), at) | np.uint64(1), np.uint64(0))
         beyond = at + gram + reach
-        right = np.where(beyond <= to, spans.of(at + gram, np.minimum(beyond, n)) | np.uint64(1), np.uint64(0))
+        right = np.where(beyond <= last + window, spans.of(at + gram, np.minimum(beyond, n)) | np.uint64(1), np.uint64(0))
         region = spans.of(first, last + window) + (last - first).astype(np.uint64)
         out.append((text, lo + first, lo + last, spans.of(at, at + gram), region, left, right))
     if not out:

@@ -5,14 +5,15 @@ its anchor, by content alone, so a passage and its copies are cut at the same pl
 windows that choose one anchor (10 to 20 of them). Two steps decide them:
 
 1. *Regions.* The text that the windows of an anchor cover is its region. Equal regions hold equal windows, so the
-   least document of a region settles all of them at once. Within a task, equal regions become one row before they
+   least document of a region settles all of them at once. Regions meet by their anchor together with the context
+   next to it, so a frequent gram gathers nothing. Within a task, equal regions become one row before they
    are shuffled: a passage in a third of all documents costs one row per task.
 2. *Borders.* Where a passage begins or ends, regions differ but may share windows. They then share the anchor and, on
    one side at least, the context next to it. Only windows of such regions are compared one by one, again as one row
    per task and window.
 
-A task that sees an anchor with several such regions sends them to step 2 itself and reports the anchor once, so a
-frequent anchor never gathers its regions in one place. Hashes compared across documents have 48 bits besides those that
+A task that sees several such regions sends them to step 2 itself and reports what they share once, so a passage with
+many continuations never gathers them in one place. Hashes compared across documents have 48 bits besides those that
 choose their bucket, and regions those of their anchor too; buckets grow in number with the data.
 """
 
@@ -37,10 +38,10 @@ GROUP_ROWS = 120_000
 TASK_BYTES = 8 << 20
 _U48 = np.uint64((1 << 48) - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_WILD = 0xFFFF
-_ROW = np.dtype([("key", "<u4"), ("low", "<u4"), ("high", "<u2"), ("left", "<u2"), ("right", "<u2")])
+_ROW = np.dtype([("key", "<u4"), ("low", "<u4"), ("high", "<u2")])
+_KEY = np.dtype([("key", "<u4")])
 _UNIT = np.dtype([("low", "<u4"), ("high", "<u2")])
-_REGIONS, _DONE, _BORDER = 0, 1, 2
+_REGIONS, _DONE, _BORDER, _SHARED = 0, 1, 2, 3
 _PACKED = "bucket int, kind tinyint, base long, ids binary, rows binary"
 _FOUND = "doc_id long, kind tinyint, unit long"
 
@@ -86,15 +87,12 @@ def _sizes(heads: np.ndarray, n: int) -> np.ndarray:
     return np.diff(np.append(heads, n))
 
 
-def _shared(key: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Rows whose key another row has, with the same context on one side at least."""
-    out = np.zeros(len(key), bool)
-    for side in (left, right):
-        rows = np.flatnonzero(side != 0)
-        both = K.mix(key[rows].astype(np.uint64) * _ODD + side[rows].astype(np.uint64))
-        order = np.argsort(both)
-        heads = _heads(both[order])
-        out[rows[order]] |= np.repeat(_sizes(heads, len(rows)) > 1, _sizes(heads, len(rows)))
+def _often(keys: np.ndarray) -> np.ndarray:
+    """Which keys stand there more than once."""
+    order = np.argsort(keys)
+    heads = _heads(keys[order])
+    out = np.zeros(len(keys), bool)
+    out[order] = np.repeat(_sizes(heads, len(keys)) > 1, _sizes(heads, len(keys)))
     return out
 
 
@@ -148,9 +146,13 @@ def _found(ids: np.ndarray, kind: int, units: np.ndarray) -> pa.RecordBatch:
     )
 
 
+def _halves(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return units & np.uint64(0xFFFFFFFF), units >> np.uint64(32)
+
+
 def _as_units(units: np.ndarray) -> np.ndarray:
     rows = np.zeros(len(units), _UNIT)
-    rows["low"], rows["high"] = units & np.uint64(0xFFFFFFFF), units >> np.uint64(32)
+    rows["low"], rows["high"] = _halves(units)
     return rows
 
 
@@ -186,18 +188,25 @@ def regions(shape: Shape, buckets: int) -> Callable[[Iterator[pa.RecordBatch]],
             later = ids[order] > np.repeat(least, _sizes(heads, len(units)))
             done = _once(ids[order][later], units[order][later])
             one = order[heads]
-            key, left, right = found.key[one], found.left[one], found.right[one]
-            border = _shared(key, left, right)
+            # an anchor with its left and with its right context: windows that two regions share, share one of these
+            sides = [np.flatnonzero(side[one] != 0) for side in (found.left, found.right)]
+            region = np.concatenate(sides)
+            context = np.concatenate([side[one][rows] for side, rows in zip((found.left, found.right), sides)])
+            keys = K.mix(found.key[one][region] * _ODD + context)
+            settles = np.concatenate([np.ones(len(sides[0]), bool), found.left[one][sides[1]] == 0])
+            shared = _often(keys)
+            rows = np.zeros(len(keys), _ROW)
+            rows["key"] = (keys & np.uint64(0xFFFFFFFE)) | settles.astype(np.uint64)
+            rows["low"], rows["high"] = _halves(units[one][region])
+            border = np.unique(region[shared])
             own = (least[border], units[one][border])
-            rows = np.zeros(len(one), _ROW)
-            rows["key"] = key & np.uint64(0xFFFFFFFF)
-            rows["low"], rows["high"] = units[one] & np.uint64(0xFFFFFFFF), units[one] >> np.uint64(32)
-            for name, side in (("left", left), ("right", right)):
-                rows[name] = np.where(side != 0, np.clip(side >> np.uint64(48), 1, _WILD - 1), 0)
-            rows["left"][border] = _WILD
-            _, first = np.unique(key[border], return_index=True)
-            sent = np.concatenate([np.flatnonzero(~border), np.flatnonzero(border)[first]])
-            out = list(_packed(_REGIONS, _bucket(key, buckets)[sent], least[sent], rows[sent]))
+            sent = np.flatnonzero(~shared)
+            out = list(_packed(_REGIONS, _bucket(keys, buckets)[sent], least[region][sent], rows[sent]))
+            # a key with several regions in one task: the others learn of it by one row
+            several, first = np.unique(keys[shared], return_index=True)
+            named = np.zeros(len(several), _KEY)
+            named["key"] = several & np.uint64(0xFFFFFFFE)
+            out += _packed(_SHARED, _bucket(several, buckets), least[region][shared][first], named)
             out += _packed(_DONE, _spread(done[0], buckets), done[0], _as_units(done[1]))
             # border regions meet by their content, so their anchor gathers nothing and one document asks for each
             out += _packed(_BORDER, _spread(own[1], buckets), own[0], _as_units(own[1]))
@@ -217,18 +226,14 @@ def compare_regions(table: pa.Table) -> pa.Table:
     later = ids > np.repeat(ids[first], _sizes(first, len(ids)))
     out.append(_found(ids[later], _DONE, units[later]))
     ids, rows = _unpacked(table, _REGIONS, _ROW)
-    units = rows["low"].astype(np.uint64) | (rows["high"].astype(np.uint64) << np.uint64(32))
-    order = np.lexsort((ids, units, rows["key"]))
-    ids, units, rows = ids[order], units[order], rows[order]
-    heads = _heads(rows["key"], units)
-    sizes = _sizes(heads, len(ids))
-    later = ids > np.repeat(ids[heads], sizes)
+    units, key = _from_units(rows), rows["key"] >> 1
+    order = np.lexsort((ids, units, key))
+    ids, units, key, settles = ids[order], units[order], key[order], (rows["key"][order] & 1) == 1
+    heads = _heads(key, units)
+    later = settles & (ids > np.repeat(ids[heads], _sizes(heads, len(ids))))
     out.append(_found(ids[later], _DONE, units[later]))
-    wild = np.maximum.reduceat(rows["left"], heads) == _WILD if len(heads) else np.zeros(0, bool)
-    first = rows[heads]
-    of_key = _heads(first["key"])
-    wild_key = np.repeat(np.maximum.reduceat(wild, of_key), _sizes(of_key, len(heads))) if len(of_key) else wild
-    border = _shared(first["key"], first["left"], first["right"]) | wild_key
+    named = _unpacked(table, _SHARED, _KEY)[1]["key"] >> 1
+    border = _often(key[heads]) | np.isin(key[heads], named)
     out.append(_found(ids[heads][border], _BORDER, units[heads][border]))
     return pa.Table.from_batches(out)
 
