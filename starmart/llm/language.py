@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -165,44 +165,53 @@ def learn(docs: DataFrame) -> Filter:
     )
 
 
-def _predict(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Filter(*model.value)
-        names = np.array([*known.languages, UNKNOWN], object)
-        for batch in (part for whole in batches for part in K.parts(whole, "text")):
+def _predict(batches: Iterator[pa.Array], known: Filter) -> Iterator[pa.Array]:
+    names = np.array([*known.languages, UNKNOWN], object)
+    for whole in batches:
+        out = []
+        for batch in K.parts(pa.RecordBatch.from_arrays([whole], names=["text"]), "text"):
             counts, total = known.counts(*K.flat(batch["text"]))
             n = batch.num_rows
-            whole = np.hstack([counts, np.zeros((n, 1))])  # the last column stands for no language
-            best = np.where(total > 0, whole[:, :-1].argmax(axis=1) if known.languages else -1, len(names) - 1)
-            best[best < 0] = len(names) - 1
-            score = whole[np.arange(n), best] / np.maximum(whole.sum(axis=1), 1e-9)
-            yield pa.RecordBatch.from_arrays(
-                [batch["row"], pa.array(names[best], pa.string()), pa.array(np.clip(score, 0, 1))],
-                names=["row", "lang_pred", "score"],
+            votes = np.hstack([counts, np.zeros((n, 1))])  # the last column stands for no language
+            best = np.full(n, len(names) - 1)
+            if known.languages:
+                best = np.where(total > 0, counts.argmax(axis=1), best)
+            score = votes[np.arange(n), best] / np.maximum(votes.sum(axis=1), 1e-9)
+            out.append(
+                pa.StructArray.from_arrays(
+                    [pa.array(names[best], pa.string()), pa.array(np.clip(score, 0, 1))], names=["lang_pred", "score"]
+                )
             )
+        yield pa.concat_arrays(out) if out else pa.array([], pa.struct([("lang_pred", pa.string()), ("score", pa.float64())]))
 
-    return run
 
-
-def predictions(docs: DataFrame, model: Filter, row: Column) -> DataFrame:
-    """row, lang_pred, score of every row.
+def predicted(spark: SparkSession, model: Filter) -> Column:
+    """lang_pred and score of `text`, as a struct. Only the texts go to Python; the other columns stay where they are.
 
     An n-gram counts for all languages whose bits it finds set; from the counts go the hits expected by chance. The
     language with the most is predicted, `score` is its part of all. Texts that are null or have no letters are `und`
     with score 0; so is any text if no language was learned. Ties go to the first language in order of names.
     """
-    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.slots, model.false_rate))
-    kind = docs.select(row.alias("row")).schema["row"].dataType.simpleString()
-    return docs.select(row.alias("row"), _padded()).mapInArrow(_predict(sent), f"row {kind}, lang_pred string, score double")
+    sent = spark.sparkContext.broadcast((model.languages, model.slots, model.false_rate))
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from _predict(batches, Filter(*sent.value))
+
+    return F.arrow_udf(run, "lang_pred string, score double")(_padded())
 
 
 def identified(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row, learned from the same documents. Rows without id are no held-out rows."""
-    row = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out(), F.lit(False)).alias("held_out"))
-    return predictions(docs, learn(docs), row).select("row.doc_id", "row.held_out", "lang_pred", "score")
+    found = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(held_out(), F.lit(False)).alias("held_out"),
+        predicted(docs.sparkSession, learn(docs)).alias("found"),
+    )
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
 def known_language(docs: DataFrame, least: float = 0.0) -> DataFrame:
     """The documents, as they came, without those whose language is unknown or scores below `least`."""
-    found = predictions(docs, learn(docs), F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
+    found = docs.withColumn("_language", predicted(docs.sparkSession, learn(docs)))
+    kept = found.where((F.col("_language.lang_pred") != UNKNOWN) & (F.col("_language.score") >= least))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -34,12 +34,12 @@ def test_language_never_sees_held_out_labels(documents):
     assert {r.lang_pred for r in language.identified(spoiled).collect()} <= {"en", "fr", "de", "es", "und"}
 
 
-def test_language_of_odd_rows(documents, odd):
+def test_language_of_odd_rows(spark, documents, odd):
     model = language.learn(documents)
-    rows = language.predictions(odd, model, F.struct("doc_id", "text")).collect()
+    rows = odd.withColumn("found", language.predicted(spark, model)).collect()
     assert len(rows) == len(ODD)
     for r in rows:
-        assert (r.lang_pred == "und") == (r.row.text in (None, "", "12 ...")) and 0 <= r.score <= 1
+        assert (r.found.lang_pred == "und") == (r.text in (None, "", "12 ...")) and 0 <= r.found.score <= 1
     both = documents.select("doc_id", "text", "lang").union(odd.select("doc_id", "text", "lang")).withColumn("row", F.lit(1))
     kept = language.known_language(both)
     assert kept.columns == both.columns and kept.count() == both.count() - 3
