@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.llm import language, minhash, mixing, prefix_free, quality, secrets, sharding, suffix_tree, toxicity, winnow
+from starmart.llm.sql import SQL  # noqa: F401  (registered with the queries)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,4 +74,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_array_dedup": op9,
     "op10_toxicity": op10,
 }
-SQL: dict[str, str] = {}
