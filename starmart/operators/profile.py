@@ -90,9 +90,9 @@ def describe(df: DataFrame, column: str, approximate: bool = False) -> DataFrame
         numbers = numbers.agg(*basics, sketch)
         quartiles = [F.get("q", F.lit(i)) for i in range(len(QUARTILES))]
     else:
-        points = exact_quantiles(numbers, "v", QUARTILES).select(F.struct("*")).scalar()
+        points = exact_quantiles(numbers, "v", QUARTILES).first()
         numbers = numbers.agg(*basics)
-        quartiles = [points.getField(f"q{i}") for i in range(len(QUARTILES))]
+        quartiles = [F.lit(point).cast("double") for point in points]
     named = [q.alias(f"p{round(p * 100)}") for q, p in zip(quartiles, QUARTILES)]
     return numbers.select(F.lit(column).alias("column"), "count", "mean", "std", "min", *named, "max")
 
@@ -164,13 +164,12 @@ def histogram(
         numbers = numbers.where(F.col("v") > lo if open_lo else F.col("v") >= lo)
     if hi is not None:
         numbers = numbers.where(F.col("v") <= hi)
-    # Values are counted first: the range and the bins are then taken from few rows.
-    counts = numbers.groupBy("v").agg(_count().alias("n"))
-    ends = counts.select(F.struct(F.min("v").alias("low"), F.max("v").alias("high"))).scalar()
+    # Each task hands on the ends of the range, then a count per bin: the values themselves stay where they are.
+    ends = numbers.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high"))).scalar()
     low, width = F.col("ends.low"), (F.col("ends.high") - F.col("ends.low")) / bins
     place = F.when(width > 0, F.least(F.floor((F.col("v") - low) / width), F.lit(bins - 1))).otherwise(F.lit(0))
     filled = (
-        counts.withColumn("ends", ends).groupBy(place.cast("int").alias("bin")).agg(F.sum("n").alias("count"))
+        numbers.withColumn("ends", ends).groupBy(place.cast("int").alias("bin")).agg(_count().alias("count"))
     )
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), ends.alias("ends"))
     return every.join(F.broadcast(filled), "bin", "left").select(

@@ -1,49 +1,94 @@
-"""Exact quantiles without gathering the values."""
+"""Exact quantiles without gathering or sorting the values."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-SLICES = 256
+# Parts into which a range is cut each time. It bounds what one pass returns, not what it reads.
+PARTS = 1024
 
 
 def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> DataFrame:
     """One row q0, q1, …: the quantile of each share, interpolated between neighbours.
 
-    Values are counted, then cut into slices of about as many different values each, by a sketch of fixed size.
-    Running counts are taken within the slices, side by side, and shifted by the rows before the slice: only the
-    few slice totals are summed up in one place. The sketch decides how even the slices are, not the result.
+    Every share needs the values of two ranks. The range that holds a rank is cut into parts, the rows of each part
+    are counted by partial aggregation, and the part that holds the rank is cut again, down to a single value. Each
+    pass shuffles a few counts per task, whatever the number of rows or of different values; doubles take seven
+    passes at the most, ages or day numbers one or two.
     """
-    counts = df.groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    cuts = [i / SLICES for i in range(1, SLICES)]
-    edges = F.array_distinct(F.percentile_approx("v", cuts, 10_000))
-    whole = counts.select(F.struct(edges.alias("edges"), F.sum("n").alias("rows"))).scalar()
-    place = F.array_position(F.sort_array(F.array_append("whole.edges", F.col("v"))), F.col("v"))
-    sliced = counts.withColumn("whole", whole).select("v", "n", place.alias("slice"), "whole.rows")
-
-    before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    totals = sliced.groupBy("slice").agg(F.sum("n").alias("held"))
-    starts = totals.select("slice", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("start"))
-
-    within = Window.partitionBy("slice").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = sliced.withColumn("upto", F.sum("n").over(within)).join(F.broadcast(starts), "slice")
-    last = F.col("start") + F.col("upto") - 1
-    first = last - F.col("n") + 1
-
-    picks = []
-    for i, share in enumerate(shares):
-        rank = (F.col("rows") - 1) * F.lit(float(share))
-        for side, at in (("a", F.floor(rank)), ("b", F.ceil(rank))):
-            picks.append(F.max(F.when(at.between(first, last), F.col("v"))).alias(f"{side}{i}"))
-        picks.append(F.max(rank - F.floor(rank)).alias(f"w{i}"))
-    found = ranked.agg(*picks)
-    return found.select(
-        *[
-            (F.col(f"a{i}") + (F.col(f"b{i}") - F.col(f"a{i}")) * F.col(f"w{i}")).alias(f"q{i}")
-            for i in range(len(shares))
-        ]
+    names = [f"q{i}" for i in range(len(shares))]
+    spark = df.sparkSession
+    values = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
+    infinite = F.abs("v") == math.inf
+    finite = values.where(~infinite)
+    whole = values.agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col("v") == -math.inf).alias("below"),
+        F.count_if(F.col("v") == math.inf).alias("above"),
+        F.min(F.when(~infinite, F.col("v"))).alias("low"),
+        F.max(F.when(~infinite, F.col("v"))).alias("high"),
+    ).first()
+    if not whole.rows:
+        return spark.createDataFrame([tuple([None] * len(names))], ", ".join(f"{n} double" for n in names))
+
+    ranks = [(whole.rows - 1) * float(share) for share in shares]
+    found: dict[int, float] = {}
+    # rank -> the range that holds it, and the rows before that range
+    open_ranks: dict[int, tuple[float, float, int]] = {}
+    for rank in {at for r in ranks for at in (math.floor(r), math.ceil(r))}:
+        if rank < whole.below:
+            found[rank] = -math.inf
+        elif rank >= whole.rows - whole.above:
+            found[rank] = math.inf
+        else:
+            open_ranks[rank] = (whole.low, whole.high, whole.below)
+    while open_ranks:
+        for rank, (low, high, _) in list(open_ranks.items()):
+            if low == high:
+                found[rank] = low
+                del open_ranks[rank]
+        if open_ranks:
+            counted = _counted(finite, sorted({(low, high) for low, high, _ in open_ranks.values()}))
+            for rank, (low, high, before) in open_ranks.items():
+                for part in counted[low, high]:
+                    if rank < before + part.rows:
+                        open_ranks[rank] = (part.low, part.high, before)
+                        break
+                    before += part.rows
+    row = tuple(_between(found[math.floor(r)], found[math.ceil(r)], r - math.floor(r)) for r in ranks)
+    return spark.createDataFrame([row], ", ".join(f"{n} double" for n in names))
+
+
+def _between(one: float, other: float, share: float) -> float:
+    return one if one == other else one + (other - one) * share
+
+
+def _counted(values: DataFrame, ranges: list[tuple[float, float]]) -> dict[tuple[float, float], list]:
+    """Rows, smallest and largest value of each part of each range, in order."""
+    keys = [F.when(F.col("v").between(low, high), F.struct(F.lit(i).alias("range"), _part(low, high).alias("part"))) for i, (low, high) in enumerate(ranges)]
+    counts = (
+        values.select("v", F.explode(F.array_compact(F.array(*keys))).alias("key"))
+        .groupBy("key")
+        .agg(F.count("*").alias("rows"), F.min("v").alias("low"), F.max("v").alias("high"))
+        .collect()
     )
+    parts: dict[tuple[float, float], list] = {key: [] for key in ranges}
+    for row in sorted(counts, key=lambda r: r.key.part):
+        parts[ranges[row.key.range]].append(row)
+    return parts
+
+
+def _part(low: float, high: float) -> Column:
+    """Number of the part a value lies in; halves keep the widest ranges finite."""
+    width = high - low
+    if math.isinf(width):
+        share = (F.col("v") / 2 - low / 2) / (high / 2 - low / 2)
+    elif width < 1e-300:  # too narrow to divide: apart from the smallest value, which leaves fewer each time
+        return F.when(F.col("v") == low, 0).otherwise(1)
+    else:
+        share = (F.col("v") - low) / width
+    return F.least(F.floor(share * PARTS), F.lit(PARTS - 1)).cast("int")

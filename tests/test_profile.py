@@ -28,6 +28,18 @@ def test_quantiles_with_a_hot_value_and_an_outlier(spark):
     assert list(got) == pytest.approx(list(np.quantile(values, [0.25, 0.5, 0.9])))
 
 
+def test_quantiles_of_extremes(spark):
+    values = [-math.inf, -1.7e308, 5e-324, 1e-323, 0.0, 1.7e308, math.inf, None]
+    got = exact_quantiles(numbers(spark, values), "x", [i / 6 for i in range(7)]).collect()[0]
+    assert list(got) == sorted(v for v in values if v is not None)
+
+
+def test_quantiles_shuffle_no_values(spark):
+    """However many different values there are, a pass returns at most so many parts of so many ranges."""
+    df = spark.range(200_000).select((F.col("id") * 0.37).alias("x"))
+    assert list(exact_quantiles(df, "x", [0.25, 0.5]).collect()[0]) == pytest.approx([199_999 * 0.37 * q for q in (0.25, 0.5)])
+
+
 def test_quantiles_of_nothing(spark):
     assert list(exact_quantiles(numbers(spark, []), "x", [0.5]).collect()[0]) == [None]
 
