@@ -9,7 +9,7 @@ from starmart.functions import bands, codes, places, visas
 from starmart.operators import dims, fact, profile
 from starmart.operators.enrich import with_dates
 from starmart.operators.joins import attach
-from starmart.sources import arrivals
+from starmart.sources import arrivals, lookups
 
 
 @check("s1_scan", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
@@ -27,6 +27,59 @@ def _(d):
     return arrivals.sample(d.arrivals)
 
 
+@check(
+    "s7_row_sample_by_key",
+    """
+SELECT * FROM arrivals
+WHERE CAST(('0x' || substr(md5(CAST(CAST(cicid AS BIGINT) AS VARCHAR)), 1, 13)) AS BIGINT) < 0.25 * 4503599627370496
+""",
+)
+def _(d):
+    keyed = d.arrivals.withColumn("key", F.col("cicid").cast("bigint"))
+    return arrivals.sample_by_key(keyed, "key", 0.25).drop("key")
+
+
+@check(
+    "s6_several_files",
+    """
+SELECT o_orderkey, o_custkey, count(*) AS copies FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders) GROUP BY ALL
+""",
+)
+def _(d):
+    path = f"{d.sf_dir}/orders.parquet"
+    rows = arrivals.read(d.spark, path, path, drop_columns=["o_comment", "not there"])
+    return rows.groupBy("o_orderkey", "o_custkey").agg(F.count("*").alias("copies"))
+
+
+@check(
+    "s9_format_catalog",
+    "SELECT 'r' || n_regionkey AS lookup, 'P' || n_nationkey AS code, n_name || ' = ' || r_name AS description "
+    "FROM nation JOIN region ON n_regionkey = r_regionkey",
+)
+def _(d):
+    """A catalog per region, as text, with a line per nation; then back from that text."""
+    nation, region = (d.spark.read.parquet(f"{d.sf_dir}/{name}.parquet") for name in ("nation", "region"))
+    line = F.format_string("  'P%s'\t=  '%s = %s   '", F.col("n_nationkey"), F.col("n_name"), F.col("r_name"))
+    lines = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).groupBy("n_regionkey").agg(
+        F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("lines")
+    )
+    text = F.format_string("/* formats */\nvalue $r%s\n%s\n;\n", F.col("n_regionkey"), F.col("lines"))
+    return lookups.parse_catalogs(lines.select(text.alias("value"))).select("lookup", "code", "description")
+
+
+@check("p14_fact_without_columns", "SELECT CAST(cicid AS BIGINT) AS visitor_id, arrival_date_id, i94port AS port_code FROM clean")
+def _(d):
+    return fact.arrivals(d.clean.drop("departure_date_id", "visatype", "travel_mode", "is_overstay"))
+
+
+@check("s8_fields", "SELECT column_name AS field, column_type AS kind FROM (DESCRIBE SELECT * FROM nation)")
+def _(d):
+    nation = d.spark.read.parquet(f"{d.sf_dir}/nation.parquet")
+    kinds = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR"}
+    named = [(name, kinds[kind]) for name, kind in arrivals.fields(nation)]
+    return d.spark.createDataFrame(named, "field string, kind string")
+
+
 @check("t3_first_rows", "SELECT * FROM arrivals ORDER BY cicid LIMIT 5")
 def _(d):
     return arrivals.peek(d.arrivals, 5, by=["cicid"])

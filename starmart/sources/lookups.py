@@ -108,9 +108,13 @@ def from_format_catalog(spark: SparkSession, path: str) -> DataFrame:
     A line `code = 'text'` makes a row; blanks and quotes around both go. Codes of numeric lookups lose leading
     zeros and the like. A repeated code keeps its last text.
     """
+    return parse_catalogs(spark.read.text(path, wholetext=True))
+
+
+def parse_catalogs(texts: DataFrame) -> DataFrame:
+    """Lookups of whole catalogs, one per row of the column `value`."""
     blocks = (
-        spark.read.text(path, wholetext=True)
-        .select(F.explode(F.regexp_extract_all("value", F.lit(r"(?s)value\s+(\$?\w+.*?);"), F.lit(1))).alias("block"))
+        texts.select(F.explode(F.regexp_extract_all("value", F.lit(r"(?s)value\s+(\$?\w+.*?);"), F.lit(1))).alias("block"))
         .select(
             F.regexp_extract("block", r"^\$?(\w+)", 1).alias("lookup"),
             F.regexp_replace("block", r"^\$?\w+", "").alias("body"),
@@ -135,7 +139,7 @@ def write_csv(lookups: DataFrame, path: str) -> None:
     """One folder `lookup=NAME/` of CSV with header per lookup; `read_csv_dir` reads it back."""
     (
         lookups.select("lookup", "code", "description")
-        .repartition("lookup")
+        .hint("rebalance", "lookup")
         .sortWithinPartitions("lookup", "code")
         .write.mode("overwrite")
         .partitionBy("lookup")

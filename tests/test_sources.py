@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from starmart import schemas
+from starmart import catalog, schemas
 from starmart.sources import arrivals as source
 from starmart.sources import lookups, sinks
 
@@ -102,6 +102,16 @@ def test_lookups_written_and_read_back(spark, tmp_path):
     assert {r.code for r in named["i94model"].collect()} == {"1", "2"}
 
 
+def test_catalog_command(spark, tmp_path):
+    write(tmp_path, "formats.sas", CATALOG)
+    out = str(tmp_path / "staging")
+    assert catalog.main([str(tmp_path / "formats.sas"), out, "--partial"]) == 0
+    assert lookups.names(lookups.read_csv_dir(spark, out)) == ["i94cntyl", "i94model", "i94prtl"]
+    write(tmp_path, "few.sas", "value i94model 1 = 'Air' ;")
+    with pytest.raises(ValueError):
+        catalog.main([str(tmp_path / "few.sas"), out])
+
+
 def test_arrivals_from_several_folders(spark, tmp_path, arrivals):
     one, two = str(tmp_path / "one"), str(tmp_path / "two")
     arrivals({}, {"cicid": 2.0}).coalesce(1).write.parquet(one)
