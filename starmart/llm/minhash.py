@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm import kernels as K
@@ -18,6 +19,8 @@ SHINGLE, PERCENT = 5, 85
 #: Bands of so many bins. At 85 % overlap a pair shares no bucket with a chance of (1 - 0.85^5)^32, below 1e-8.
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
+#: Members of a bucket that become middles in the first round after the two stars, and the factor from round to round.
+MIDDLES, GROWTH = 4, 8
 
 _TABLE = K.symbol_table(K.WHITESPACE, lower=True)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -112,18 +115,23 @@ def classes(signed: DataFrame) -> DataFrame:
     )
 
 
-def candidates(reps: DataFrame) -> DataFrame:
-    """Pairs (a, b) of documents to compare: in each bucket, all members with two of them, never with each other.
+def crowded(reps: DataFrame) -> DataFrame:
+    """doc_id, bucket, size: the members of each bucket that holds two documents or more."""
+    members = reps.select("doc_id", F.posexplode("bands").alias("band", "bucket")).select("doc_id", "bucket")
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    return tables.written(members.join(sizes, "bucket"), "buckets")
+
+
+def candidates(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of documents to compare first: in each bucket, all members with two of them.
 
     One middle of a star is the member that meets most others over all its buckets: the origin of a family of copies
     meets more of them than the copies meet each other. The other is a random member. So n members of a bucket make
-    fewer than 2n pairs, and buckets are never gathered: middles come from partial aggregates.
+    fewer than 2n pairs, and buckets are never gathered: middles come from partial aggregates. What the stars leave
+    apart, `joined` compares.
     """
-    members = reps.select("doc_id", F.posexplode("bands").alias("band", "bucket")).select("doc_id", "bucket")
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    crowded = tables.written(members.join(sizes, "bucket"), "buckets")
-    weights = crowded.groupBy("doc_id").agg(F.sum("size").alias("weight"))
-    weighed = crowded.join(weights, "doc_id")
+    weights = members.groupBy("doc_id").agg(F.sum("size").alias("weight"))
+    weighed = members.join(weights, "doc_id")
     middles = tables.written(
         weighed.groupBy("bucket").agg(
             F.max_by("doc_id", F.struct("weight", -F.col("doc_id"))).alias("heaviest"),
@@ -131,7 +139,7 @@ def candidates(reps: DataFrame) -> DataFrame:
         ),
         "middles",
     )
-    pairs = crowded.join(middles, "bucket").select(
+    pairs = members.join(middles, "bucket").select(
         "doc_id", F.explode(F.array_distinct(F.array("heaviest", "random"))).alias("middle")
     )
     return (
@@ -141,6 +149,92 @@ def candidates(reps: DataFrame) -> DataFrame:
     )
 
 
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in K.parts(whole, "text"):
+            text, hashes = shingles(*K.flat(batch["text"]), SHINGLE)
+            doc = batch["doc_id"].take(pa.array(text))
+            yield pa.RecordBatch.from_arrays([doc, pa.array(hashes.view(np.int64))], names=["doc_id", "shingle"])
+
+
+def common(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id, lone: the shingles of each wanted document that no other wanted document has."""
+    found = _texts(docs).join(wanted, "doc_id", "left_semi").mapInArrow(_listed, "doc_id long, shingle long")
+    alone = found.groupBy("shingle").agg(F.count("*").alias("rows"), F.min("doc_id").alias("doc_id")).where("rows = 1")
+    return alone.groupBy("doc_id").agg(F.count("*").alias("lone"))
+
+
+def _several(members: DataFrame) -> DataFrame:
+    """The rows of those buckets whose members lie in two components or more."""
+    ends = members.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    return members.join(ends.where("least <> most").select("bucket"), "bucket", "left_semi")
+
+
+def _apart(members: DataFrame, upto: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) across components, in each bucket of its next middles with all members; and the members left then.
+
+    `size` and the hash of a member decide from which number of middles on it is one; at last all are. Of two members
+    the one with the lesser hash compares both. A link needs 85 shared shingles of each 185 of both sets, and what a
+    document has alone is not shared: this drops pairs before they are made.
+    """
+    middle = (F.col("place") < F.lit(upto * 2.0**63) / F.col("size")) | (F.col("size") <= upto)
+    one, other = members.where(middle).alias("x"), members.alias("y")
+    enough = (100 + PERCENT) * F.least("x.shared", "y.shared") >= PERCENT * (F.col("x.n_shingles") + F.col("y.n_shingles"))
+    order = F.struct("x.place", "x.doc_id") < F.struct("y.place", "y.doc_id")
+    found = one.join(
+        other, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component")) & order & enough
+    )
+    return found.select(
+        F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")
+    ).distinct(), members.where(~middle)
+
+
+def joined(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(id, component) of linked documents. Every pair that shares a bucket is compared, or is in one component anyhow.
+
+    After the two stars, buckets whose members lie in several components go on: each round takes GROWTH times as many
+    middles and compares them across components only, until no bucket has two components among the members that have
+    not been middles.
+    """
+    members = crowded(reps)
+    near = alike(reps, candidates(members))
+    found = tables.written(components(confirmed(docs, near)), "found")
+    left = members.join(found, F.col("doc_id") == F.col("id"), "left").select(
+        "doc_id", "bucket", "size", F.coalesce("component", "doc_id").alias("component")
+    )
+    left = tables.written(_several(left), "apart")
+    if left.isEmpty():
+        return found
+    lone = tables.written(common(docs, left.select("doc_id").distinct()), "lone")
+    left = left.join(
+        reps.select("doc_id", "n_shingles").join(lone, "doc_id", "left").select(
+            "doc_id", "n_shingles", (F.col("n_shingles") - F.coalesce("lone", F.lit(0))).alias("shared")
+        ),
+        "doc_id",
+    ).where(100 * F.col("shared") >= PERCENT * F.col("n_shingles"))
+    left = left.withColumn("place", F.shiftrightunsigned(F.xxhash64("bucket", "doc_id"), 1))
+    # `left` goes to a table before buckets are looked at, so that hot ones can be split
+    left = tables.written(_several(tables.written(left, "members")), "apart")
+    links, upto = [found.select(F.col("id").alias("a"), F.col("component").alias("b"))], MIDDLES
+    while not left.isEmpty():
+        pairs, rest = _apart(left, upto)
+        new = alike(reps, pairs.join(near, ["a", "b"], "left_anti"))
+        if not new.isEmpty():
+            near = near.union(new)
+            made = tables.written(confirmed(docs, new), "made")
+            links.append(made)
+            of = left.select(F.col("doc_id"), "component").distinct()
+            for side in ("a", "b"):
+                made = made.join(of.select(F.col("doc_id").alias(side), F.col("component").alias(f"of_{side}")), side)
+            step = components(made.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+            step = step.select(F.col("id").alias("component"), F.col("component").alias("root"))
+            rest = rest.join(step, "component", "left").withColumn("component", F.coalesce("root", "component")).drop("root")
+            rest = tables.written(rest, "members")
+        left = tables.written(_several(rest), "apart")
+        upto *= GROWTH
+    return components(reduce(DataFrame.union, links)) if len(links) > 1 else found
+
+
 def _overlap(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray], pairs: int):
     """Sizes of intersection and union of the sets of each pair."""
     pair, hashes = (np.concatenate(x) for x in zip(one, other))
@@ -177,9 +271,8 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch[c].filter(near) for c in ("a", "b")], names=["a", "b"])
 
 
-def links(docs: DataFrame, signed: DataFrame, reps: DataFrame) -> DataFrame:
-    """Linked pairs (a, b): candidates whose full shingle sets overlap enough."""
-    pairs = candidates(reps)
+def alike(reps: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose bins agree about as often as those of linked documents, or more."""
     for side in ("a", "b"):
         pairs = pairs.join(
             reps.select(
@@ -187,10 +280,17 @@ def links(docs: DataFrame, signed: DataFrame, reps: DataFrame) -> DataFrame:
             ),
             side,
         )
-    near = tables.written(pairs.mapInArrow(_alike, "a long, b long"), "pairs")
+    return tables.written(pairs.mapInArrow(_alike, "a long, b long"), "pairs")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def confirmed(docs: DataFrame, near: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets overlap enough."""
     wanted = tables.written(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "compared")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.join(wanted, "doc_id", "left_semi")
+    texts = _texts(docs).join(wanted, "doc_id", "left_semi")
     for side in ("a", "b"):
         near = near.join(texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")), side)
     return near.mapInArrow(_confirm, "a long, b long")
@@ -212,7 +312,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
         .dropDuplicates(["doc_id"]),
         "representatives",
     )
-    found = components(links(docs, signed, reps))
+    found = joined(docs, reps)
     reach = sets.join(found, sets["rep"] == found["id"], "left").select(
         "set_a", "set_b", F.coalesce("component", "rep").alias("reach")
     )

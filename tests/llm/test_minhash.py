@@ -64,6 +64,24 @@ def test_a_family_linked_through_its_origin(spark):
     assert {r.doc_id: r.component_id for r in got} == least
 
 
+@pytest.mark.parametrize("fillings", [5, 10])
+def test_a_family_from_a_template(spark, fillings):
+    """One body with six slots; documents are linked where they differ in up to two slots, seldom with one middle."""
+    rnd = random.Random(fillings)
+    words = lambda n: [f"w{rnd.randrange(10**9)}" for _ in range(n)]
+    body, slots = [words(46) for _ in range(7)], [[words(6) for _ in range(fillings)] for _ in range(6)]
+    rows = []
+    for i in range(250):
+        text = list(body[0])
+        for part, slot in zip(body[1:], slots):
+            text += rnd.choice(slot) + part
+        rows.append((i + 1, " ".join(text)))
+    grams, least = all_pairs(rows)
+    assert len(set(least.values())) < 240
+    got = minhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: r.component_id for r in got} == least
+
+
 def test_ids_ties_and_empty_tables(spark, empty):
     rows = [(5, "a b c d e f"), (5, "a b c d e f"), (9, "A B c d e f"), (None, "a b c d e f"), (10, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
