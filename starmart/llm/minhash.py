@@ -70,6 +70,16 @@ def bins(text: np.ndarray, hashes: np.ndarray, texts: int) -> np.ndarray:
     return out
 
 
+def fingerprints(text: np.ndarray, hashes: np.ndarray, texts: int) -> list[np.ndarray]:
+    """Two sums over the shingles of each text."""
+    sums = [np.zeros(texts, np.uint64), np.zeros(texts, np.uint64)]
+    heads = np.flatnonzero(np.r_[True, text[1:] != text[:-1]]) if len(text) else np.zeros(0, np.int64)
+    for i, seed in enumerate((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)):
+        if len(heads):
+            sums[i][text[heads]] = np.add.reduceat(K.mix(hashes ^ np.uint64(seed)), heads)
+    return sums
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in K.parts(whole, "text"):
@@ -77,11 +87,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data, bounds = K.flat(batch["text"])
             text, hashes = shingles(data, bounds, SHINGLE)
             count = np.bincount(text, minlength=n)
-            sums = [np.zeros(n, np.uint64), np.zeros(n, np.uint64)]
-            heads = np.flatnonzero(np.r_[True, text[1:] != text[:-1]]) if len(text) else np.zeros(0, np.int64)
-            for i, seed in enumerate((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)):
-                if len(heads):
-                    sums[i][text[heads]] = np.add.reduceat(K.mix(hashes ^ np.uint64(seed)), heads)
+            sums = fingerprints(text, hashes, n)
             found = bins(text, hashes, n)
             keys = np.zeros((n, BANDS), np.uint64)
             for r in range(ROWS):
@@ -116,8 +122,8 @@ def classes(signed: DataFrame) -> DataFrame:
 
 
 def crowded(reps: DataFrame) -> DataFrame:
-    """doc_id, bucket, size: the members of each bucket that holds two documents or more."""
-    members = reps.select("doc_id", F.posexplode("bands").alias("band", "bucket")).select("doc_id", "bucket")
+    """doc_id, set_a, bucket, size: the members of each bucket that holds two shingle sets or more."""
+    members = reps.select("doc_id", "set_a", F.explode("bands").alias("bucket"))
     sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     return tables.written(members.join(sizes, "bucket"), "buckets")
 
@@ -153,15 +159,15 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in K.parts(whole, "text"):
             text, hashes = shingles(*K.flat(batch["text"]), SHINGLE)
-            doc = batch["doc_id"].take(pa.array(text))
-            yield pa.RecordBatch.from_arrays([doc, pa.array(hashes.view(np.int64))], names=["doc_id", "shingle"])
+            set_a = fingerprints(text, hashes, batch.num_rows)[0][text]
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (set_a, hashes)], names=["set_a", "shingle"])
 
 
 def common(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc_id, lone: the shingles of each wanted document that no other wanted document has."""
-    found = _texts(docs).join(wanted, "doc_id", "left_semi").mapInArrow(_listed, "doc_id long, shingle long")
-    alone = found.groupBy("shingle").agg(F.count("*").alias("rows"), F.min("doc_id").alias("doc_id")).where("rows = 1")
-    return alone.groupBy("doc_id").agg(F.count("*").alias("lone"))
+    """set_a, lone: the shingles of each text of wanted documents that no other such text has."""
+    found = _texts(docs).join(wanted, "doc_id", "left_semi").mapInArrow(_listed, "set_a long, shingle long")
+    alone = found.groupBy("shingle").agg(F.count("*").alias("rows"), F.min("set_a").alias("set_a")).where("rows = 1")
+    return alone.groupBy("set_a").agg(F.count("*").alias("lone"))
 
 
 def _several(members: DataFrame) -> DataFrame:
@@ -189,8 +195,8 @@ def _apart(members: DataFrame, upto: int) -> tuple[DataFrame, DataFrame]:
     ).distinct(), members.where(~middle)
 
 
-def joined(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(id, component) of linked documents. Every pair that shares a bucket is compared, or is in one component anyhow.
+def joined(docs: DataFrame, reps: DataFrame, same: DataFrame) -> DataFrame:
+    """(id, component) of linked documents, and of those in `same` (a, b). Every pair that shares a bucket is compared, or is in one component anyhow.
 
     After the two stars, buckets whose members lie in several components go on: each round takes GROWTH times as many
     middles and compares them across components only, until no bucket has two components among the members that have
@@ -198,19 +204,19 @@ def joined(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """
     members = crowded(reps)
     near = alike(reps, candidates(members))
-    found = tables.written(components(confirmed(docs, near)), "found")
+    found = tables.written(components(confirmed(docs, near).union(same)), "found")
     left = members.join(found, F.col("doc_id") == F.col("id"), "left").select(
-        "doc_id", "bucket", "size", F.coalesce("component", "doc_id").alias("component")
+        "doc_id", "set_a", "bucket", "size", F.coalesce("component", "doc_id").alias("component")
     )
     left = tables.written(_several(left), "apart")
     if left.isEmpty():
         return found
     lone = tables.written(common(docs, left.select("doc_id").distinct()), "lone")
     left = left.join(
-        reps.select("doc_id", "n_shingles").join(lone, "doc_id", "left").select(
-            "doc_id", "n_shingles", (F.col("n_shingles") - F.coalesce("lone", F.lit(0))).alias("shared")
+        reps.select("doc_id", "set_a", "n_shingles").join(lone, "set_a", "left").select(
+            "doc_id", "set_a", "n_shingles", (F.col("n_shingles") - F.coalesce("lone", F.lit(0))).alias("shared")
         ),
-        "doc_id",
+        ["doc_id", "set_a"],
     ).where(100 * F.col("shared") >= PERCENT * F.col("n_shingles"))
     left = left.withColumn("place", F.shiftrightunsigned(F.xxhash64("bucket", "doc_id"), 1))
     # `left` goes to a table before buckets are looked at, so that hot ones can be split
@@ -302,17 +308,21 @@ def near_copies(docs: DataFrame) -> DataFrame:
     Words are runs without white space, with A-Z as a-z. Documents with equal shingle sets are one class; classes are
     linked where their full sets overlap by PERCENT, and `component_id` is the least doc_id in reach. The document that
     bears it is kept. Null and empty texts have no shingles and are linked with nothing. Rows of one doc_id are one
-    document. A row without doc_id has no component and is kept.
+    document, also where their texts differ: it is linked with what any of them is linked with. A row without doc_id has no component and is kept.
     """
     signed = tables.written(signatures(docs), "signatures")
     sets = tables.written(classes(signed), "sets")
     reps = tables.written(
         signed.join(sets.select(F.col("rep").alias("doc_id"), "set_a", "set_b"), ["doc_id", "set_a", "set_b"])
-        .select("doc_id", "n_shingles", "bands", "bins")
-        .dropDuplicates(["doc_id"]),
+        .dropDuplicates(["doc_id", "set_a", "set_b"])
+        .select("doc_id", "set_a", "n_shingles", "bands", "bins"),
         "representatives",
     )
-    found = joined(docs, reps)
+    full = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "set_a", "set_b")
+    one = F.struct("set_a", "set_b")
+    several = full.groupBy("doc_id").agg(F.min(one).alias("least"), F.max(one).alias("most")).where("least <> most")
+    same = full.join(several.select("doc_id"), "doc_id").join(sets, ["set_a", "set_b"])
+    found = joined(docs, reps, tables.written(same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")), "same"))
     reach = sets.join(found, sets["rep"] == found["id"], "left").select(
         "set_a", "set_b", F.coalesce("component", "rep").alias("reach")
     )

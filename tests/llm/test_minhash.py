@@ -91,6 +91,16 @@ def test_ids_ties_and_empty_tables(spark, empty):
     assert sorted(r.doc_id or 0 for r in minhash.without_near_copies(docs).collect()) == [0, 5, 10]
 
 
+def test_an_id_with_different_texts(spark):
+    """It is linked with what either text is linked with, whichever rows come first, and joins both groups."""
+    rnd = random.Random(8)
+    base = [[f"w{rnd.randrange(10**6)}" for _ in range(200)] for _ in range(3)]
+    near = [[*words[:-1], "changed"] for words in base]
+    rows = [(1, base[0]), (1, base[1]), (1, base[2]), (20, near[0]), (21, near[1]), (22, near[2]), (22, ["else"] * 9), (23, ["else"] * 9)]
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string").repartition(3)
+    assert {(r.doc_id, r.component_id) for r in minhash.near_copies(docs).collect()} == {(d, 1) for d, _ in rows}
+
+
 def test_bins_are_borrowed_alike():
     text, hashes = np.zeros(3, np.int64), np.array([1 << 40, 1 << 62, 3 << 61], np.uint64)
     one = minhash.bins(text, hashes, 2)
