@@ -197,7 +197,10 @@ def predicted(spark: SparkSession, model: Filter) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield from _predict(batches, Filter(*sent.value))
 
-    return F.arrow_udf(run, "lang_pred string, score double")(_padded())
+    found = F.arrow_udf(run, "lang_pred string, score double")(_padded())
+    # the n-grams take every byte from 0x80 up for a letter; whether a text has one at all is decided on the whole text
+    lettered = F.coalesce(F.col("text").cast("string").rlike("\\p{L}"), F.lit(False))
+    return F.when(lettered, found).otherwise(F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")))
 
 
 def identified(docs: DataFrame) -> DataFrame:

@@ -29,6 +29,15 @@ def test_language_of_held_out_documents(documents):
     assert all(0 <= r.score <= 1 for r in held)
 
 
+def test_texts_without_letters_have_no_language(spark, documents):
+    """Neither emoji, dashes nor punctuation beyond ASCII are letters; é and ideographs are."""
+    texts = ["\U0001f600\U0001f680 \U0001f600\U0001f680", "———— — ————", "……… ………", "。、「」 。、「」", "été été", "漢字漢字"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = docs.withColumn("found", language.predicted(spark, language.learn(documents))).orderBy("doc_id").collect()
+    assert [(r.found.lang_pred, r.found.score) for r in rows[:4]] == [("und", 0.0)] * 4
+    assert "und" not in {r.found.lang_pred for r in rows[4:]}
+
+
 def test_language_never_sees_held_out_labels(documents):
     spoiled = documents.withColumn("lang", F.when(language.held_out(), "xx").otherwise(F.col("lang")))
     assert {r.lang_pred for r in language.identified(spoiled).collect()} <= {"en", "fr", "de", "es", "und"}
