@@ -1,4 +1,4 @@
-"""Passages of bytes that documents share, from a content-defined parse of the texts."""
+"""Passages of bytes that documents share, by winnowing: neither a dictionary nor a suffix array is built."""
 
 from __future__ import annotations
 
@@ -14,10 +14,9 @@ PASSAGE, TRIGGER = 50, 16
 def without_repeated_bytes(docs: DataFrame, passage: int = PASSAGE, trigger: int = TRIGGER) -> DataFrame:
     """doc_id, n_bytes, n_removed, starts, ends (removed spans, in bytes), kept (the remaining bytes).
 
-    Triggers, the least rolling hashes of their surroundings, cut the text into phrases that overlap by a passage; the
-    same text is cut the same way everywhere. Equal phrases are one entry of the dictionary, and the least document of
-    an entry settles every suffix that begins in it. Only suffixes of entries that agree next to a trigger are
-    compared one by one (see `repeats`). Null texts are empty; see `repeats.without_repeats` for ids and equal rows.
+    Each passage chooses its least gram of `trigger` bytes as anchor, so the same text is cut into the same regions
+    everywhere. Equal regions meet by hash, and the least document of one settles every passage in it. Only passages of
+    regions that agree next to an anchor are compared one by one, by hash (see `repeats`). Null texts are empty; see `repeats.without_repeats` for ids and equal rows.
     """
     return without_repeats(docs, Shape(passage, trigger, False)).withColumnRenamed("n_symbols", "n_bytes")
 

@@ -1,4 +1,4 @@
-"""Passages of words that documents share, from suffixes partitioned by prefix."""
+"""Passages of words that documents share, by winnowing: no suffix tree is built."""
 
 from __future__ import annotations
 
@@ -14,10 +14,9 @@ PASSAGE, PREFIX = 13, 4
 def without_repeated_passages(docs: DataFrame, passage: int = PASSAGE, prefix: int = PREFIX) -> DataFrame:
     """doc_id, n_words, n_removed, starts, ends (removed spans, in words), kept (bytes: words joined by one space).
 
-    Words are runs without white space. Of the suffixes of all texts, those take part that begin with the least prefix
-    of some passage; they are dealt out by that prefix, and a frequent prefix is told apart by the words around it
-    (see `repeats`). A subtree's nodes at the depth of a passage are the repeats; of each, the document with the
-    smallest id keeps its words. Null texts have no words; see `repeats.without_repeats` for ids and equal rows.
+    Words are runs without white space. Each passage chooses its least gram of `prefix` words as anchor; the texts around
+    anchors meet by hash, and passages are compared by hash where these differ (see `repeats`). Of each repeat, the
+    document with the smallest id keeps its words. Null texts have no words; see `repeats.without_repeats` for ids and equal rows.
     """
     return without_repeats(docs, Shape(passage, prefix, True)).withColumnRenamed("n_symbols", "n_words")
 
