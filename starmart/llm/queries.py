@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import language, minhash, mixing, prefix_free, quality, secrets, sharding, suffix_tree, toxicity, winnow
+from starmart.llm import (
+    language,
+    lexical,
+    minhash,
+    mixing,
+    pieces,
+    prefix_free,
+    quality,
+    secrets,
+    sharding,
+    suffix_tree,
+    toxicity,
+    whitening,
+    winnow,
+)
 from starmart.llm.sql import SQL  # noqa: F401  (registered with the queries)
 
 
@@ -22,6 +36,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -62,6 +80,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rated(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(embeddings(spark, sf_dir))
+
+
+def op12(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    model = pieces.read_model(path)
+    return pieces.digest(pieces.decoded(pieces.encoded(documents(spark, sf_dir), model), model))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1,
     "op2_minhash_near_dedup": op2,
@@ -73,4 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scans": op8,
     "op9_suffix_array_dedup": op9,
     "op10_toxicity": op10,
+    "op11_embedding_whitening": op11,
+    "op12_sentencepiece": op12,
+    "op13_lexical_search": op13,
 }

@@ -105,9 +105,33 @@ SELECT doc_id, text, lang, source, n_chars, CAST(k AS INTEGER) AS copy
 FROM counted, LATERAL (SELECT unnest(generate_series(0, copies - 1)) AS k)
 """
 
+_TERMS = rf"""regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+OP13 = rf"""
+WITH terms AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({_TERMS}) AS term FROM documents) GROUP BY ALL
+),
+sizes AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM terms GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sizes),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0 * docs + 2) / (2.0 * count(*) + 1))) AS BIGINT) AS w
+  FROM terms, whole GROUP BY term, docs
+),
+asked AS (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // total)))) AS BIGINT) AS score
+  FROM asked JOIN terms USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), whole GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
+
 SQL = {
     "op2_minhash_near_dedup": OP2,
     "op3_substring_dedup": OP3,
     "op4_benchmark_decontamination": OP4,
     "op6_source_mixing": OP6,
+    "op13_lexical_search": OP13,
 }
