@@ -188,7 +188,7 @@ def _ranked(sent, most: int):
             ids = column["doc_id"]
             order = np.empty(block.docs, np.int64)
             order[pa.compute.sort_indices(ids, null_placement="at_end").to_numpy()] = np.arange(block.docs)
-            items, found, scores = [], [], []
+            items, found, scores = ([np.zeros(0, kind)] for kind in (np.int32, np.int64, np.int64))
             weights = np.zeros(len(weight), np.int64)
             for i, (own, times) in enumerate(zip(terms, repeats)):
                 weights[own] = weight[own] * times

@@ -37,8 +37,8 @@ def processor(model: bytes):
     if any(_CROSSES.search(found.id_to_piece(i)) for i in range(found.get_piece_size())):
         raise ValueError("the model has pieces that go on beyond a whitespace mark")
     probe = " \ufb01  \u00bd\u00a0a\u0301 \u0130\t\u3000\u00e9 "
-    if found.normalize(probe) != (" " + probe).replace(" ", _MARK) or found.eos_id() < 0:
-        raise ValueError("the model changes texts before it cuts them up, or has no end id")
+    if found.normalize(probe) != (" " + probe).replace(" ", _MARK) or found.eos_id() < 0 or found.is_unknown(found.piece_to_id(_MARK)):
+        raise ValueError("the model changes texts before it cuts them up, or has no piece for a mark or the end")
     return found
 
 
@@ -47,6 +47,12 @@ def _words(text: str) -> list[str]:
     return _WORD.findall(" " + text) if text else []
 
 
+def _ids(cut, words: list[str]) -> list[list[int]]:
+    """Ids of marked words. The library puts the first mark, except where nothing follows it."""
+    ids = cut.encode([w[1:] for w in words], num_threads=1)
+    return [own if len(w) > 1 else [cut.piece_to_id(_MARK)] for w, own in zip(words, ids)]
+
+
 def _small(ids: int) -> type:
     return np.uint16 if ids <= 1 << 16 else np.uint32
 
@@ -93,7 +99,7 @@ def _listed(parts: int):
                 used = [i for i, words in enumerate(lists) if words]
                 words = [zstandard.compress(json.dumps(lists[i], ensure_ascii=False).encode()) for i in used]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(used, pa.int32()), pa.array([pack.as_py()] * len(used)), pa.array(words, pa.binary())],
+                    [pa.array(used, pa.int32()), pa.array([pack.as_py()] * len(used), pa.string()), pa.array(words, pa.binary())],
                     names=["part", "pack", "words"],
                 )
 
@@ -112,7 +118,7 @@ def _segmented(model):
             for data in batch["words"]:
                 words = _read(data.as_py())
                 fresh = [w for w in words if w not in known]
-                known.update(zip(fresh, cut.encode([w[1:] for w in fresh], num_threads=1)))  # the library puts the first mark
+                known.update(zip(fresh, _ids(cut, fresh)))
                 ids = [known[w] for w in words]
                 sizes = np.array([len(x) for x in ids], np.uint32)
                 out.append(zstandard.compress(sizes.tobytes() + np.array([i for x in ids for i in x], kind).tobytes()))
