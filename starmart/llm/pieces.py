@@ -23,8 +23,7 @@ from starmart.llm import tables
 PACK = 16 << 20
 
 _MARK = "▁"
-#: A marked word: blanks (or marks, which count as blanks), then all up to the next one.
-_WORD = re.compile(f"[ {_MARK}]+[^ {_MARK}]*")
+_WORD = re.compile(" +[^ ]*")
 _CROSSES = re.compile(f"[^{_MARK}]{_MARK}")
 
 
@@ -43,14 +42,31 @@ def processor(model: bytes):
 
 
 def _words(text: str) -> list[str]:
-    """Marked words of a text; all of them begin with a mark. An empty text has none."""
-    return _WORD.findall(" " + text) if text else []
+    """Marked words of a text without their first mark: further marks, then all up to the next. An empty text has none.
+
+    The library puts a mark before the text and takes blanks for marks, and marks for blanks."""
+    text = text.replace(_MARK, " ")
+    if text.startswith(" ") or "  " in text:
+        return [w[1:] for w in _WORD.findall(" " + text)]
+    return text.split(" ") if text else []
 
 
 def _ids(cut, words: list[str]) -> list[list[int]]:
-    """Ids of marked words. The library puts the first mark, except where nothing follows it."""
-    ids = cut.encode([w[1:] for w in words], num_threads=1)
-    return [own if len(w) > 1 else [cut.piece_to_id(_MARK)] for w, own in zip(words, ids)]
+    """Ids of marked words. The library puts the first mark back, except where nothing follows it."""
+    return [own if w else [cut.piece_to_id(_MARK)] for w, own in zip(words, cut.encode(words, num_threads=1))]
+
+
+class _Numbers(dict):
+    """Numbers words as they first come."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+def _parts(words, parts: int) -> np.ndarray:
+    """Where each word is segmented."""
+    return np.fromiter((zlib.crc32(w.encode()) % parts for w in words), np.int64, len(words))
 
 
 def _small(ids: int) -> type:
@@ -83,21 +99,18 @@ def _read(data: bytes) -> list:
     return json.loads(zstandard.decompress(data))
 
 
-def _lists(texts: list[str], parts: int) -> list[list[str]]:
-    """The distinct marked words of a pack, dealt out by their hash and in order."""
-    out: list[list[str]] = [[] for _ in range(parts)]
-    for word in sorted({w for text in texts for w in _words(text)}):
-        out[zlib.crc32(word.encode()) % parts].append(word)
-    return out
-
-
 def _listed(parts: int):
+    """The distinct marked words of each pack, in lists by the hash of the word."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for pack, data in zip(batch["pack"], batch["data"]):
-                lists = _lists(_read(data.as_py())[1], parts)
-                used = [i for i, words in enumerate(lists) if words]
-                words = [zstandard.compress(json.dumps(lists[i], ensure_ascii=False).encode()) for i in used]
+                found = list(dict.fromkeys(w for text in _read(data.as_py())[1] for w in _words(text)))
+                part = _parts(found, parts)
+                order = np.argsort(part, kind="stable")
+                used, heads = np.unique(part[order], return_index=True)
+                lists = [[found[i] for i in own] for own in np.split(order, heads[1:])] if len(used) else []
+                words = [zstandard.compress(json.dumps(own, ensure_ascii=False).encode()) for own in lists]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(used, pa.int32()), pa.array([pack.as_py()] * len(used), pa.string()), pa.array(words, pa.binary())],
                     names=["part", "pack", "words"],
@@ -134,29 +147,32 @@ def _joined(parts: int, model):
         cut = processor(model.value)
         kind, end = _small(cut.get_piece_size()), cut.eos_id()
         found = {p.as_py(): ids.as_py() for p, ids in zip(right["part"], right["ids"])}
-        docs, ends, values = [], [0], []
+        docs, bounds, values = [], [0], []
         for data in left["data"]:
             ids, texts = _read(data.as_py())
-            place: dict[str, int] = {}
-            sizes, pieces = [], []
-            for part, words in enumerate(_lists(texts, parts)):
-                if words and part not in found:
+            number = _Numbers()
+            places = [np.fromiter(map(number.__getitem__, _words(text)), np.int32) for text in texts]
+            part = _parts(number, parts)
+            order, count = np.argsort(part, kind="stable"), len(number)
+            sizes, pieces = [np.zeros(0, np.uint32)], []
+            for used, words in zip(*np.unique(part, return_counts=True)):
+                if used not in found:
                     raise ValueError("documents came in another order when read again: write them to a table first")
-                if words:
-                    raw = zstandard.decompress(found[part])
-                    sizes.append(np.frombuffer(raw, np.uint32, len(words)))
-                    pieces.append(np.frombuffer(raw, kind, offset=4 * len(words)))
-                    place.update(zip(words, range(len(place), len(place) + len(words))))
+                raw = zstandard.decompress(found[used])
+                sizes.append(np.frombuffer(raw, np.uint32, words))
+                pieces.append(np.frombuffer(raw, kind, offset=4 * words))
             pieces = np.concatenate([*pieces, np.array([end], kind)])
-            bounds = np.r_[0, np.cumsum(np.concatenate([*sizes, np.ones(1, np.int64)]).astype(np.int64))]
-            last = len(bounds) - 2  # the end id, as if it were a word
-            for doc_id, text in zip(ids, texts):
-                at = np.array([*map(place.__getitem__, _words(text)), last], np.int64)
-                values.append(pieces[K.ranges(bounds[at], bounds[at + 1])].astype(np.int32))
+            ends = np.append(np.cumsum(np.concatenate(sizes), dtype=np.int64), len(pieces))
+            first, last = np.empty(count + 1, np.int64), np.empty(count + 1, np.int64)
+            order = np.append(order, count)  # the end id, as if it were one more word
+            first[order], last[order] = np.r_[0, ends[:-1]], ends
+            for doc_id, place in zip(ids, places):
+                place = np.append(place, count)
+                values.append(pieces[K.ranges(first[place], last[place])].astype(np.int32))
                 docs.append(doc_id)
-                ends.append(ends[-1] + len(values[-1]))
+                bounds.append(bounds[-1] + len(values[-1]))
         flat = np.concatenate(values) if values else np.zeros(0, np.int32)
-        return pa.table([pa.array(docs, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["doc_id", "ids"])
+        return pa.table([pa.array(docs, pa.int64()), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))], names=["doc_id", "ids"])
 
     return run
 
