@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starmart import schemas
 from starmart.functions import codes, dates
-from starmart.operators.joins import attach, described
+from starmart.operators.joins import attach, attach_all, described
 from starmart.sources.lookups import Lookups
 
 DATES = (("arrdate", "arrdate_dt", "arrival_date_id"), ("depdate", "depdate_dt", "departure_date_id"))
@@ -59,10 +59,7 @@ def with_travel_mode(df: DataFrame, lookups: Lookups) -> DataFrame:
 
 def with_hits(df: DataFrame, lookups: Lookups) -> DataFrame:
     """Whether port and country codes are in their lookups, as `<name>_known`, with the texts found."""
-    for code, lookup, name in HITS:
-        if code in df.columns and lookup in lookups:
-            df = attach(df, code, lookups[lookup], name)
-    return df
+    return attach_all(df, [(code, lookups[lookup], name) for code, lookup, name in HITS if code in df.columns and lookup in lookups])
 
 
 def enrich(df: DataFrame, lookups: Lookups) -> DataFrame:
