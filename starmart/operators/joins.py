@@ -100,15 +100,17 @@ def _attach_large(df: DataFrame, wanted: Sequence[tuple[str, DataFrame, str]]) -
     done = {into: F.col(_key(into)).isNull() | F.col(f"{into}_known").isNotNull() for _, _, into in wanted}
     settled = reduce(and_, done.values())
     rest = keyed if df.isStreaming else keyed.where(~settled)
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in columns]).cast("string")
     for _, lookup, into in wanted:
-        far = _side(lookup, "far").select(F.col(_key("far")), F.col("far"), F.lit(0).alias("_far_place"))
-        place = F.when(done[into], F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(1 << 20)).cast("int") + 1).otherwise(0)
+        far = _side(lookup, "_far").select(F.concat(F.lit("="), _key("_far")).alias("_far_place"), "_far")
+        # a row that is done has a place that no code has
+        place = F.when(done[into], F.concat(F.lit("~"), content)).otherwise(F.concat(F.lit("="), _key(into)))
         rest = (
             rest.withColumn("_place", place)
-            .join(far, (F.col(_key(into)) == F.col(_key("far"))) & (F.col("_place") == F.col("_far_place")), "left")
-            .withColumn(into, F.coalesce(into, "far"))
-            .withColumn(f"{into}_known", F.coalesce(f"{into}_known", F.col(_key("far")).isNotNull()))
-            .drop("_place", _key("far"), "far", "_far_place")
+            .join(far, F.col("_place") == F.col("_far_place"), "left")
+            .withColumn(into, F.coalesce(into, "_far"))
+            .withColumn(f"{into}_known", F.coalesce(f"{into}_known", F.col("_far_place").isNotNull()))
+            .drop("_place", "_far_place", "_far")
         )
     if not df.isStreaming:
         unknown = {f"{into}_known": F.coalesce(f"{into}_known", F.lit(False)) for _, _, into in wanted}
