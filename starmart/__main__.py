@@ -58,6 +58,8 @@ def main(argv: Sequence[str] | None = None) -> int:
         log.warning("rule %s skipped: column or lookup missing", name)
     for name in result.skipped_tables:
         log.warning("table %s skipped: column or lookup missing", name)
+    for name in result.skipped_files:
+        log.warning("file %s could not be read, or only in part", name)
     return 0
 
 

@@ -36,9 +36,15 @@ def sized(side: DataFrame, bound: DataFrame | None = None) -> DataFrame:
 
 
 def is_small(side: DataFrame) -> bool:
-    """Whether a side goes to every executor: by its estimate, or because it was hinted (see `sized`)."""
-    hinted = "strategy=broadcast" in side._jdf.queryExecution().analyzed().toString()
-    return hinted or estimated_bytes(side) <= BROADCAST_BYTES
+    """Whether a lookup goes to every executor: it was hinted (see `sized`), or its estimate or real size allows it.
+
+    Estimates are upper bounds, often far off for rows that come from a join or from the driver; only where the
+    estimate is too large, one pass over the lookup adds up its texts.
+    """
+    if "strategy=broadcast" in side._jdf.queryExecution().analyzed().toString() or estimated_bytes(side) <= BROADCAST_BYTES:
+        return True
+    texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in side.columns]
+    return (side.agg(F.sum(sum(texts, F.lit(64)))).first()[0] or 0) <= BROADCAST_BYTES
 
 
 def attach(df: DataFrame, code: str, lookup: DataFrame, into: str) -> DataFrame:

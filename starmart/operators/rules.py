@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -95,15 +95,31 @@ def keep_original(df: DataFrame) -> DataFrame:
     return df.withColumn(ORIGINAL, F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in ORIGIN]))
 
 
-def flag(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def flag(df: DataFrame, rules: Sequence[Rule], defer: bool = False) -> DataFrame:
     """One boolean per rule, then `is_rejected` and `rejection_reason`.
 
     Of several broken rules the last in the list gives the reason. Flags read the columns as they came in:
-    blanking happens in `repair`, so the order of the rules never changes who is rejected.
+    blanking happens in `repair`, so the order of the rules never changes who is rejected. A rule with `min_share`
+    needs a pass over all rows first; with `defer` it counts as if it had none, until `decide` is told its share.
     """
     live = active(df, rules)
-    flags = {rule.flag: _holds(df, rule) for rule in live}
-    flagged = df.withColumns(flags) if flags else df
+    flags = {rule.flag: F.coalesce(rule.condition, F.lit(False)) if defer else _holds(df, rule) for rule in live}
+    return _judged(df.withColumns(flags) if flags else df, live)
+
+
+def broken_counts(rules: Sequence[Rule]) -> dict[str, Column]:
+    """Rows that break each rule with `min_share`, to be observed while flagged rows are written."""
+    return {rule.flag: F.count_if(rule.flag) for rule in rules if rule.min_share is not None}
+
+
+def decide(flagged: DataFrame, rules: Sequence[Rule], rows: int, broken: Mapping[str, int]) -> DataFrame:
+    """Deferred flags, now that it is known how many rows broke each rule: those of rules below their share go."""
+    live = applied(flagged, rules)
+    idle = [r.flag for r in live if r.min_share is not None and rows and broken[r.flag] / rows < r.min_share]
+    return _judged(flagged.withColumns({name: F.lit(False) for name in idle}), live) if idle else flagged
+
+
+def _judged(flagged: DataFrame, live: Sequence[Rule]) -> DataFrame:
     broken = [F.when(F.col(rule.flag), F.lit(rule.reason)) for rule in reversed(live)]
     return flagged.withColumns(
         {

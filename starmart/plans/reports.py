@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from starmart import schemas
 from starmart.functions import bands, dates
 from starmart.operators.joins import sized
+from starmart.sources import runs
 
 Tables = Mapping[str, DataFrame]
 
@@ -23,7 +24,11 @@ Tables = Mapping[str, DataFrame]
 def load(
     spark: SparkSession, path: str, names: tuple[str, ...] | None = None, fmt: str = "parquet"
 ) -> dict[str, DataFrame]:
-    """Written star tables by name; each is also a temporary view, ready for SQL text. `fmt` is the job's format."""
+    """Written star tables by name; each is also a temporary view, ready for SQL text. `fmt` is the job's format.
+
+    The tables are those of one run: a publication that broke off is finished first.
+    """
+    runs.settle(spark, path)
     tables = {}
     for name in names or (
         schemas.FACT,

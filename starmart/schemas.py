@@ -43,6 +43,7 @@ DIM_PORT = "dim_port"
 REJECTED = "rejected_immigration_records"
 SUMMARY = "rejection_summary"
 METRICS = "quality_metrics"
+SKIPPED_FILES = "skipped_files"
 
 FACT_COLUMNS = (
     "visitor_id",

@@ -55,7 +55,55 @@ def sized_shuffles(spark: SparkSession, shuffled_bytes: int) -> Iterator[None]:
         spark.conf.unset(INITIAL_PARTITIONS) if before is None else spark.conf.set(INITIAL_PARTITIONS, before)
 
 
+def _located(spark: SparkSession, path: str):
+    """The file system that holds a path, and the path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table on whichever file system holds it."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    system, target = _located(spark, path)
+    system.delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, target = _located(spark, path)
+    return system.exists(target)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a table in the place of another, on the same file system."""
+    system, to = _located(spark, target)
+    system.delete(to, True)
+    system.mkdirs(to.getParent())
+    if not system.rename(spark._jvm.org.apache.hadoop.fs.Path(source), to):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file; None if there is none."""
+    system, target = _located(spark, path)
+    if not system.exists(target):
+        return None
+    stream = system.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, there whole or not at all: written beside, then renamed over the old one."""
+    system, target = _located(spark, path)
+    fs = spark._jvm.org.apache.hadoop.fs
+    beside = target.suffix(".new")
+    stream = system.create(beside, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    rename = getattr(fs, "Options$Rename")
+    options = spark._sc._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(beside, target, options)

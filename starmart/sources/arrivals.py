@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,11 +28,14 @@ def read(
 
     `schema` spares the look into a file footer. `drop_columns` leaves columns out of the scan, for instance
     those a null profile shows to be nearly empty. `origin` adds the file and the row number within it.
-    `skip_corrupt` passes over unreadable files instead of failing.
+    `skip_corrupt` passes over unreadable files instead of failing; without a schema the footers of all files are
+    then read, since the first one may be unreadable. `skipped` names those files.
     """
     reader = spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower())
     if schema is not None:
         reader = reader.schema(schema)
+    elif skip_corrupt:
+        reader = reader.option("mergeSchema", "true")
     raw = reader.parquet(*paths)
     dropped = [c for c in drop_columns if c in raw.columns]
     return (with_origin(raw) if origin else raw).drop(*dropped)
@@ -44,6 +50,54 @@ def with_origin(raw: DataFrame) -> DataFrame:
     )
 
 
+# Unreadable files up to this size are opened once more, in a task, to say what is wrong with them.
+PROBE_BYTES = 256 * 1024 * 1024
+
+
+def skipped(spark: SparkSession, paths: Sequence[str], schema: T.StructType, read_rows: DataFrame | None = None) -> DataFrame:
+    """Files that `skip_corrupt` passed over, wholly or in part: file, bytes, file_rows, read_rows, error.
+
+    The files are listed; a scan of no columns, which reads footers only, counts the rows of those it can open.
+    `read_rows` (file, read_rows) says how many rows a real scan got: fewer mean that it broke off within the file.
+    Files that cannot be opened are few; a task opens each of them and notes the error, null rows and all. A readable
+    file without rows is not reported.
+    """
+    name = F.col("_metadata.file_path").alias("file")
+    listed = spark.read.format("binaryFile").load(list(paths)).select(name, F.col("length").alias("bytes"))
+    footers = (
+        spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(*paths)
+        .select(name).groupBy("file").agg(F.count(F.lit(1)).alias("file_rows"))
+    )
+    found = listed.join(footers, "file", "left")
+    found = found.withColumn("read_rows", F.lit(None).cast("long")) if read_rows is None else found.join(read_rows, "file", "left")
+    short = found.where(F.col("file_rows").isNull() | (F.coalesce("read_rows", F.lit(0)) < F.col("file_rows")) if read_rows is not None else F.col("file_rows").isNull())
+    suspects = short.collect()  # no more than the driver lists anyway
+    shut = [unquote(r.file) for r in suspects if r.file_rows is None and r.bytes <= PROBE_BYTES]
+    errors = {}
+    if shut:
+        opened = spark.read.format("binaryFile").load(shut).select(name, "content").repartition(len(shut))
+        errors = {r.file: r.error for r in opened.mapInArrow(_probed, "file string, error string").collect()}
+    rows = []
+    for r in suspects:
+        error = errors.get(r.file, "not opened again: too large") if r.file_rows is None else "broken off while it was read"
+        if error is not None:
+            rows.append((r.file, r.bytes, r.file_rows, r.read_rows, error))
+    return spark.createDataFrame(rows, "file string, bytes long, file_rows long, read_rows long, error string")
+
+
+def _probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What is wrong with the files whose content this is; null for a file that is only empty of rows."""
+    for batch in batches:
+        errors = []
+        for content in batch["content"]:
+            try:
+                pq.ParquetFile(pa.BufferReader(content.as_buffer()))
+                errors.append(None)
+            except (pa.ArrowException, OSError) as error:
+                errors.append(f"{type(error).__name__}: {error}"[:500])
+        yield pa.RecordBatch.from_arrays([batch["file"], pa.array(errors, pa.string())], names=["file", "error"])
+
+
 def sample(df: DataFrame, target_rows: int = 1_000_000, assumed_rows: int = 40_000_000, seed: int = 42) -> DataFrame:
     """Row sample that comes to about `target_rows` when the table has `assumed_rows`."""
     return df.sample(fraction=min(1.0, target_rows / assumed_rows), seed=seed)

@@ -65,3 +65,11 @@ def test_hot_and_missing_codes_stay_out_of_the_shuffle(spark, skewed, large, mon
 def test_hinted_lookups_count_as_small(spark, large, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
     assert joins.is_small(F.broadcast(large[0])) and not joins.is_small(large[0])
+
+
+def test_lookups_without_an_estimate_are_measured(spark, monkeypatch):
+    rows = spark.createDataFrame([(str(i), "x" * 10) for i in range(100)], "code string, description string").repartition(3)
+    monkeypatch.setattr(joins, "estimated_bytes", lambda df: 1 << 60)
+    assert joins.is_small(rows)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 7_000)
+    assert not joins.is_small(rows)  # 100 rows of 64 bytes and 11 to 12 of text
