@@ -15,6 +15,11 @@ def components(links: DataFrame) -> DataFrame:
     pointed to. Stars, however many links their middle has, take two or three rounds, chains a number that grows with
     the logarithm of their length. Counts per node are taken before rows are shuffled, and every round reads tables.
     """
+    with tables.passing(links.sparkSession):
+        return tables.written(_components(links), "components", stays=True)
+
+
+def _components(links: DataFrame) -> DataFrame:
     links = tables.written(links.where("a <> b").select("a", "b").distinct(), "links")
     labels = None
     while not links.isEmpty():

@@ -20,7 +20,9 @@ SHINGLE, PERCENT = 5, 85
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
 #: Members of a bucket that become middles in the first round after the two stars, and the factor from round to round.
-MIDDLES, GROWTH = 4, 8
+MIDDLES, GROWTH = 4, 4
+#: Up to so many ids of documents to compare are sent to every task that reads the corpus (8 bytes each).
+SENT_IDS = 2_000_000
 
 _TABLE = K.symbol_table(K.WHITESPACE, lower=True)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -164,8 +166,8 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def common(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """set_a, lone: the shingles of each text of wanted documents that no other such text has."""
-    found = _texts(docs).join(wanted, "doc_id", "left_semi").mapInArrow(_listed, "set_a long, shingle long")
+    """set_a, lone: the shingles of each text of wanted documents that no other such text has (`docs`: see `compared`)."""
+    found = docs.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_listed, "set_a long, shingle long")
     alone = found.groupBy("shingle").agg(F.count("*").alias("rows"), F.min("set_a").alias("set_a")).where("rows = 1")
     return alone.groupBy("set_a").agg(F.count("*").alias("lone"))
 
@@ -203,8 +205,9 @@ def joined(docs: DataFrame, reps: DataFrame, same: DataFrame) -> DataFrame:
     not been middles.
     """
     members = crowded(reps)
+    docs = compared(docs, members)
     near = alike(reps, candidates(members))
-    found = tables.written(components(confirmed(docs, near).union(same)), "found")
+    found = components(confirmed(docs, near).union(same))
     left = members.join(found, F.col("doc_id") == F.col("id"), "left").select(
         "doc_id", "set_a", "bucket", "size", F.coalesce("component", "doc_id").alias("component")
     )
@@ -289,14 +292,16 @@ def alike(reps: DataFrame, pairs: DataFrame) -> DataFrame:
     return tables.written(pairs.mapInArrow(_alike, "a long, b long"), "pairs")
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def compared(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """doc_id, text of the documents that share a bucket: all that is ever compared, taken from the corpus once."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    wanted = tables.written(members.select("doc_id").distinct(), "wanted")
+    few = wanted.limit(SENT_IDS + 1).count() <= SENT_IDS
+    return tables.written(texts.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi"), "compared")
 
 
-def confirmed(docs: DataFrame, near: DataFrame) -> DataFrame:
+def confirmed(texts: DataFrame, near: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full shingle sets overlap enough."""
-    wanted = tables.written(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "compared")
-    texts = _texts(docs).join(wanted, "doc_id", "left_semi")
     for side in ("a", "b"):
         near = near.join(texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")), side)
     return near.mapInArrow(_confirm, "a long, b long")
@@ -310,6 +315,11 @@ def near_copies(docs: DataFrame) -> DataFrame:
     bears it is kept. Null and empty texts have no shingles and are linked with nothing. Rows of one doc_id are one
     document, also where their texts differ: it is linked with what any of them is linked with. A row without doc_id has no component and is kept.
     """
+    with tables.passing(docs.sparkSession):
+        return tables.written(_near_copies(docs), "components", stays=True)
+
+
+def _near_copies(docs: DataFrame) -> DataFrame:
     signed = tables.written(signatures(docs), "signatures")
     sets = tables.written(classes(signed), "sets")
     reps = tables.written(
@@ -345,8 +355,9 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
 
     Only ids to drop are joined to the texts. Rows without id stay.
     """
-    found = near_copies(docs)
-    dropped = tables.written(found.where("NOT kept").select("doc_id").distinct(), "dropped")
+    with tables.passing(docs.sparkSession):
+        dropped = near_copies(docs).where("NOT kept").select("doc_id").distinct()
+        dropped = tables.written(dropped, "dropped", stays=True)
     twice = tables.written(docs.groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1").select("doc_id"), "twice")
     kept = docs.join(dropped, "doc_id", "left_anti")
     if twice.isEmpty():

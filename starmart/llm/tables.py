@@ -6,11 +6,16 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart import session
+
 
 @lru_cache(maxsize=1)
 def _local() -> str:
@@ -35,10 +40,33 @@ BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The same rows, read back from a table: later steps neither repeat this work nor depend on its shuffles."""
+#: For each `passing` that is open, the folders written within.
+_passing: ContextVar[tuple[list[str], ...]] = ContextVar("passing", default=())
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Within, tables that are written go at the end, except those that stay. What is returned reads only the latter."""
+    own: list[str] = []
+    token = _passing.set((*_passing.get(), own))
+    try:
+        yield
+    finally:
+        _passing.reset(token)
+        for path in own:
+            session.remove(spark, path)
+
+
+def written(df: DataFrame, name: str, stays: bool = False) -> DataFrame:
+    """The same rows, read back from a table: later steps neither repeat this work nor depend on its shuffles.
+
+    Within `passing` the table goes when that ends; one that `stays` goes when the `passing` around it ends, if any.
+    """
     spark = df.sparkSession
     path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
+    lists = _passing.get()[: -1 if stays else None]
+    if lists:
+        lists[-1].append(path)
     before = spark.conf.get(_BATCH, None)
     spark.conf.set(_BATCH, str(BATCH_ROWS))
     try:

@@ -189,5 +189,7 @@ def digest(found: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, as they came."""
-    hit = contamination(docs, benchmark).where("contaminated").select(F.col("row").alias("_contaminated_row")).distinct()
-    return docs.join(tables.written(hit, "contaminated"), row_key() == F.col("_contaminated_row"), "left_anti")
+    with tables.passing(docs.sparkSession):
+        hit = contamination(docs, benchmark).where("contaminated").select(F.col("row").alias("_contaminated_row")).distinct()
+        hit = tables.written(hit, "contaminated", stays=True)
+    return docs.join(hit, row_key() == F.col("_contaminated_row"), "left_anti")

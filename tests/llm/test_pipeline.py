@@ -38,4 +38,4 @@ def test_stages(spark):
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and {*queries.QUERIES, "pipeline"} <= set(spec.queries())
+    assert numbers == list(range(1, 14)) and {*queries.QUERIES, "pipeline"} <= set(spec.queries())
