@@ -134,7 +134,8 @@ def candidates(members: DataFrame) -> DataFrame:
     """Pairs (a, b) of documents to compare first: in each bucket, all members with two of them.
 
     One middle of a star is the member that meets most others over all its buckets: the origin of a family of copies
-    meets more of them than the copies meet each other. The other is a random member. So n members of a bucket make
+    meets more of them than the copies meet each other. The other is a random member, by a hash of the id alone: buckets that
+    share members share it, and the same pair comes from all of them. So n members of a bucket make
     fewer than 2n pairs, and buckets are never gathered: middles come from partial aggregates. What the stars leave
     apart, `joined` compares.
     """
@@ -143,7 +144,7 @@ def candidates(members: DataFrame) -> DataFrame:
     middles = tables.written(
         weighed.groupBy("bucket").agg(
             F.max_by("doc_id", F.struct("weight", -F.col("doc_id"))).alias("heaviest"),
-            F.min_by("doc_id", F.xxhash64("bucket", "doc_id")).alias("random"),
+            F.min_by("doc_id", F.xxhash64("doc_id")).alias("random"),
         ),
         "middles",
     )
@@ -221,7 +222,7 @@ def joined(docs: DataFrame, reps: DataFrame, same: DataFrame) -> DataFrame:
         ),
         ["doc_id", "set_a"],
     ).where(100 * F.col("shared") >= PERCENT * F.col("n_shingles"))
-    left = left.withColumn("place", F.shiftrightunsigned(F.xxhash64("bucket", "doc_id"), 1))
+    left = left.withColumn("place", F.shiftrightunsigned(F.xxhash64("doc_id"), 1))
     # `left` goes to a table before buckets are looked at, so that hot ones can be split
     left = tables.written(_several(tables.written(left, "members")), "apart")
     links, upto = [found.select(F.col("id").alias("a"), F.col("component").alias("b"))], MIDDLES
