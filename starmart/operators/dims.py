@@ -68,6 +68,11 @@ def visitor(clean: DataFrame, lookups: Lookups) -> DataFrame:
     id, so an id that fills a third of the table is no burden; codes become text and meet their country names
     only on the rows that are left.
     """
+    return named_people(people(clean), lookups)
+
+
+def people(clean: DataFrame) -> DataFrame:
+    """visitor_id and `person`, the smallest of its rows as a struct; the id alone where no other column is at hand."""
     if "cicid" not in clean.columns:
         raise ValueError("the data has no visitor id (cicid)")
     columns = [
@@ -78,12 +83,21 @@ def visitor(clean: DataFrame, lookups: Lookups) -> DataFrame:
     visitor_id = codes.to_whole(clean, "cicid", "bigint").alias("visitor_id")
     if not columns:
         return clean.select(visitor_id).distinct()
-    people = (
-        clean.select(visitor_id, F.struct(*columns).alias("person"))
-        .groupBy("visitor_id")
-        .agg(F.min("person").alias("person"))
-        .select("visitor_id", "person.*")
-    )
+    return merged_people(clean.select(visitor_id, F.struct(*columns).alias("person")))
+
+
+def merged_people(parts: DataFrame) -> DataFrame:
+    """One row per visitor of several parts: the least of least rows is the least of all, however they were split."""
+    if "person" not in parts.columns:
+        return parts.select("visitor_id").distinct()
+    return parts.groupBy("visitor_id").agg(F.min("person").alias("person"))
+
+
+def named_people(people: DataFrame, lookups: Lookups) -> DataFrame:
+    """The visitor table of merged people."""
+    if "person" not in people.columns:
+        return people
+    people = people.select("visitor_id", "person.*")
     for country in _COUNTRIES:
         code = f"{country}_code"
         if code in people.columns:

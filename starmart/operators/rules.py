@@ -263,7 +263,11 @@ def metrics(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def rate_by_day(flagged: DataFrame) -> DataFrame:
     """Rejections per arrival date and reason, and their share of that day's rows; feeds monitoring over time."""
-    per_reason = flagged.groupBy("arrdate_dt", "rejection_reason").agg(F.count(F.lit(1)).alias("rows"))
+    return rates(flagged.groupBy("arrdate_dt", "rejection_reason").agg(F.count(F.lit(1)).alias("rows")))
+
+
+def rates(per_reason: DataFrame) -> DataFrame:
+    """The same from counts: arrdate_dt, rejection_reason (null for clean rows), rows."""
     per_day = per_reason.groupBy("arrdate_dt").agg(
         F.sum("rows").alias("total"),
         F.collect_list(F.struct("rejection_reason", "rows")).alias("reasons"),

@@ -7,7 +7,8 @@ from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,6 +104,57 @@ def sample(df: DataFrame, target_rows: int = 1_000_000, assumed_rows: int = 40_0
     return df.sample(fraction=min(1.0, target_rows / assumed_rows), seed=seed)
 
 
+# Parts into which a range of digests is cut in each pass of `sample_rows`.
+PARTS = 1024
+_DIGESTS = 1 << 52
+
+
+def _digest(*parts: str) -> Column:
+    text = F.concat_ws("#", *[F.coalesce(F.col(p).cast("string"), F.lit("")) for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
+
+
+def sample_rows(df: DataFrame, rows: int, key: str, by: str) -> DataFrame:
+    """Exactly `rows` rows of each value of `by`, or all it has: those with the least digests of `by` and `key`.
+
+    The same rows in every run, however the table is partitioned, if `key` tells the rows of a value apart. No row is
+    sorted or moved: for each value, digests are counted in parts of their range by partial aggregation, the part that
+    holds the last row wanted is cut again, and so on until it ends with that row. Each pass reads two columns only.
+    """
+    spark = df.sparkSession
+    digests = df.select(F.col(by).alias("of"), _digest(by, key).alias("digest"))
+    size = F.expr(f"(high - low) div {PARTS} + 1")
+    open_ = digests.select("of").distinct().select("of", F.lit(0).cast("long").alias("low"), F.lit(_DIGESTS - 1).alias("high"), F.lit(rows).cast("long").alias("need"))
+    ends, schema = [], "of {}, low long, high long, need long".format(df.schema[by].dataType.simpleString())
+    bounds = spark.createDataFrame(open_.collect(), schema)
+    while not bounds.isEmpty():
+        parts = (
+            digests.join(F.broadcast(bounds.withColumnRenamed("of", "own")), F.col("of").eqNullSafe(F.col("own")) & F.col("digest").between(F.col("low"), F.col("high")))
+            .groupBy("of", "low", "high", "need", F.expr(f"(digest - low) div ((high - low) div {PARTS} + 1)").alias("part"))
+            .agg(F.count(F.lit(1)).alias("rows"))
+        )
+        upto = parts.withColumn("upto", F.sum("rows").over(W.partitionBy("of").orderBy("part")))
+        held = upto.where("upto >= need AND upto - rows < need").select(
+            "of", (F.col("low") + F.col("part") * size).alias("low"), F.least("high", F.col("low") + (F.col("part") + 1) * size - 1).alias("high"),
+            (F.col("need") - F.col("upto") + F.col("rows")).alias("need"), "rows",
+        ).collect()  # one row for each value of `by`
+        # done where the part ends with the last row wanted, or is a single digest; `need` of that digest's rows stay
+        ends += [(r.of, r.high, None if r.rows == r.need else r.need) for r in held if r.rows == r.need or r.low == r.high]
+        bounds = spark.createDataFrame([(r.of, r.low, r.high, r.need) for r in held if r.rows != r.need and r.low < r.high], schema)
+    last = spark.createDataFrame(ends, "_own {}, _last long, _ties long".format(df.schema[by].dataType.simpleString()))
+    marked = df.withColumn("_digest", _digest(by, key)).join(F.broadcast(last), F.col(by).eqNullSafe(F.col("_own")), "left")
+    whole = marked.where(F.col("_last").isNull() | (F.col("_digest") < F.col("_last")) | ((F.col("_digest") == F.col("_last")) & F.col("_ties").isNull()))
+    tied = marked.where((F.col("_digest") == F.col("_last")) & F.col("_ties").isNotNull())
+    place = F.row_number().over(W.partitionBy(by).orderBy(key))
+    tied = tied.withColumn("_place", place).where("_place <= _ties")
+    return whole.select(*df.columns).unionByName(tied.select(*df.columns))
+
+
+def sample_files(raw: DataFrame, rows: int) -> DataFrame:
+    """Exactly `rows` rows of each file, or all it has; `raw` was read with its origin."""
+    return sample_rows(raw, rows, SOURCE_ROW, SOURCE_FILE)
+
+
 def sample_by_key(df: DataFrame, key: str, share: float) -> DataFrame:
     """About this share of the keys with all their rows, the same in every run and on every engine: by digest."""
     place = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 13), 16, 10).cast("double")

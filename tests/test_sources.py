@@ -158,3 +158,24 @@ def test_table_formats_and_row_counts(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "m")).where("part = 1").count() == 3
     with pytest.raises(ValueError):
         sinks.write_table(rows, str(tmp_path / "x"), fmt="xml")
+
+
+def test_samples_have_as_many_rows_of_each_file(spark, tmp_path, arrivals):
+    import hashlib
+
+    folder = str(tmp_path / "in")
+    for rows in (200, 37, 5):
+        arrivals(*[{"cicid": float(i)} for i in range(rows)]).coalesce(1).write.mode("append").parquet(folder)
+    raw = source.read(spark, folder, schema=schemas.ARRIVALS, origin=True)
+    want = set()
+    files = {}
+    for r in raw.collect():
+        files.setdefault(r.source_file, []).append((hashlib.md5(f"{r.source_file}#{r.source_row}".encode()).hexdigest()[:13], r.source_row))
+    for file, rows in files.items():
+        want |= {(file, row) for _, row in sorted(rows)[:20]}
+    for parts in (1, 7):
+        got = source.sample_files(raw.repartition(parts), 20)
+        assert got.columns == raw.columns
+        assert {(r.source_file, r.source_row) for r in got.collect()} == want and got.count() == len(want) == 45
+    odd = spark.createDataFrame([(None, 1), (None, 1), (None, 1), ("a", None)], "g string, k int")
+    assert source.sample_rows(odd, 2, "k", "g").count() == 3 and source.sample_rows(odd.limit(0), 2, "k", "g").count() == 0
