@@ -187,6 +187,14 @@ def _(d):
     return rounded(profile.describe(d.arrivals, "i94bir"), "mean", "std", "p25", "p50", "p75")
 
 
+_NUMBERS = ("cicid", "i94cit", "i94res", "arrdate", "depdate", "i94mode", "i94bir", "biryear", "i94visa")
+
+
+@check("a11_all_columns", " UNION ALL ".join(_summary(c, "arrivals") for c in _NUMBERS))
+def _(d):
+    return rounded(profile.describe_all(d.arrivals, _NUMBERS), "mean", "std", "p25", "p50", "p75")
+
+
 @check("a11_price_summary", _summary("o_totalprice", "orders"))
 def _(d):
     """A column with nearly as many values as rows."""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from starmart.functions import codes, dates
 from starmart.functions.codes import is_missing
 from starmart.operators.joins import attach, unmapped
-from starmart.operators.quantiles import exact_quantiles
+from starmart.operators.quantiles import exact_quantiles, quantile_values
 
 
 def _count() -> Column:
@@ -97,6 +97,20 @@ def describe(df: DataFrame, column: str, approximate: bool = False) -> DataFrame
     return numbers.select(F.lit(column).alias("column"), "count", "mean", "std", "min", *named, "max")
 
 
+def describe_all(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """`describe` of several columns, a row each: one pass for the basics and a few for all quartiles together."""
+    values = {c: codes.to_number(F.col(c)) for c in columns}
+    numbers = df.select(*[F.when(~F.isnan(v), v).alias(c) for c, v in values.items()])
+    points = quantile_values(numbers, columns, QUARTILES)
+    rows = []
+    for c, found in zip(columns, points):
+        v = F.col(f"`{c}`")
+        basics = [F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min")]
+        quartiles = [F.lit(point).cast("double").alias(f"p{round(p * 100)}") for point, p in zip(found, QUARTILES)]
+        rows.append(F.struct(F.lit(c).alias("column"), *basics, *quartiles, F.max(v).alias("max")))
+    return numbers.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
 def sentinels(df: DataFrame, column: str, values: Sequence[float] = (-999, -1, 0, 999)) -> DataFrame:
     """Rows that hold each of the values which may stand for 'missing'."""
     number = codes.to_number(F.col(column))

@@ -119,3 +119,21 @@ def test_shares_need_no_cross_join(spark):
     counts = profile.with_percent(profile.value_counts(spark.range(10).select((F.col("id") % 3).alias("k")), "k"))
     plan = counts._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_describe_all_takes_no_more_passes_than_its_slowest_column(spark, monkeypatch):
+    from starmart.operators import quantiles
+
+    rows = [(float(i * 37 % 1009) / 7, i % 5, None, str(i) if i % 3 else "x", math.nan if i % 2 else math.inf) for i in range(1500)]
+    df = spark.createDataFrame(rows, "a double, b int, c double, `d.e` string, f double")
+    passes, counted = [], quantiles._counted
+    monkeypatch.setattr(quantiles, "_counted", lambda *args: passes.append(1) or counted(*args))
+    names = ["a", "b", "c", "f"]
+    single, most = [], 0
+    for name in names:
+        passes.clear()
+        single += [tuple(r) for r in profile.describe(df, name).collect()]
+        most = max(most, len(passes))
+    passes.clear()
+    together = [tuple(r) for r in profile.describe_all(df, names).collect()]
+    assert str(together) == str(single) and 0 < len(passes) == most
