@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starmart.llm import kernels as K
+from starmart.llm import tables
 
 #: Bytes of the n-grams. Their ends may be the edge of a word, nothing between them is.
 GRAMS = (3, 4, 5)
@@ -137,7 +138,7 @@ def learn(docs: DataFrame) -> Filter:
     most documents hold are kept, so both what is counted and what reaches the driver is bounded. Without labelled
     rows the filter knows no language.
     """
-    labelled = docs.where(~F.coalesce(held_out(), F.lit(False))).where("lang IS NOT NULL AND text IS NOT NULL")
+    labelled = docs.where(~F.coalesce(held_out(), F.lit(False))).select("doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
     sizes = labelled.groupBy("lang").agg(F.count("*").alias("rows"))
     if len(sizes.select("lang").take(MOST_LANGUAGES + 1)) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} values of lang")
@@ -215,6 +216,7 @@ def identified(docs: DataFrame) -> DataFrame:
 
 def known_language(docs: DataFrame, least: float = 0.0) -> DataFrame:
     """The documents, as they came, without those whose language is unknown or scores below `least`."""
-    found = docs.withColumn("_language", predicted(docs.sparkSession, learn(docs)))
-    kept = found.where((F.col("_language.lang_pred") != UNKNOWN) & (F.col("_language.score") >= least))
+    own = tables.free(docs, "_language")
+    found = docs.withColumn(own, predicted(docs.sparkSession, learn(docs)))
+    kept = found.where((F.col(f"{own}.lang_pred") != UNKNOWN) & (F.col(f"{own}.score") >= least))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

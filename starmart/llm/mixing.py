@@ -63,17 +63,14 @@ def copies(docs: DataFrame, weights: Mapping[str, float] | None = None, total: f
     The hash is of seed and doc_id, so a document keeps its place in the distribution when rates change: raising a
     rate never takes copies away. Rows of one doc_id have as many copies each. A null source is a source of its own.
     """
-    of = rates(docs, weights, total).select(
-        F.col("source").alias("_source"), "rate", steps(F.col("rate")).alias("_steps")
-    )
-    few = len(of.select("_source").take(SENT_SOURCES + 1)) <= SENT_SOURCES
-    joined = docs.drop("copies").join(
-        F.broadcast(of) if few else of, F.col("source").cast("string").eqNullSafe(F.col("_source"))
-    )
+    own, rate, upto = (tables.free(docs, name) for name in ("_source", "_rate", "_steps"))
+    of = rates(docs, weights, total).select(F.col("source").alias(own), F.col("rate").alias(rate), steps(F.col("rate")).alias(upto))
+    few = len(of.select(own).take(SENT_SOURCES + 1)) <= SENT_SOURCES
+    joined = docs.drop("copies").join(F.broadcast(of) if few else of, F.col("source").cast("string").eqNullSafe(F.col(own)))
     u = uniform(seed, F.col("doc_id"))
-    count = F.size(F.filter("_steps", lambda p: p < u)).cast("int")
+    count = F.size(F.filter(upto, lambda p: p < u)).cast("int")
     names = [c for c in docs.columns if c != "copies"]
-    return joined.select(*[F.col(f"`{c}`") for c in names], F.when(F.col("rate") > 0, count).otherwise(0).alias("copies"))
+    return joined.select(*[F.col(f"`{c}`") for c in names], F.when(F.col(rate) > 0, count).otherwise(0).alias("copies"))
 
 
 def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, total: float | None = None, seed: int = SEED) -> DataFrame:
@@ -84,7 +81,8 @@ def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, total: fl
     """
     repeated = copies(docs, weights, total, seed).where("copies > 0")
     names = [c for c in repeated.columns if c not in ("copies", "copy")]
+    key = tables.free(repeated, "_key")
     repeated = repeated.select(
         *[F.col(f"`{c}`") for c in names], F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy")
-    ).withColumn("_key", uniform(seed + 1, F.col("doc_id"), F.col("copy")))
-    return repeated.repartition(F.col("_key")).sortWithinPartitions("_key").drop("_key")
+    ).withColumn(key, uniform(seed + 1, F.col("doc_id"), F.col("copy")))
+    return repeated.repartition(F.col(key)).sortWithinPartitions(key).drop(key)

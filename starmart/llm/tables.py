@@ -76,6 +76,14 @@ def written(df: DataFrame, name: str, stays: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free(df: DataFrame, name: str) -> str:
+    """This name, or a longer one that no column of the frame has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shuffles(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

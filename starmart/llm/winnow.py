@@ -189,7 +189,8 @@ def digest(found: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, as they came."""
+    own = tables.free(docs, "_row")
     with tables.passing(docs.sparkSession):
-        hit = contamination(docs, benchmark).where("contaminated").select(F.col("row").alias("_contaminated_row")).distinct()
+        hit = contamination(docs, benchmark).where("contaminated").select(F.col("row").alias(own)).distinct()
         hit = tables.written(hit, "contaminated", stays=True)
-    return docs.join(hit, row_key() == F.col("_contaminated_row"), "left_anti")
+    return docs.join(hit, row_key() == F.col(own), "left_anti")
