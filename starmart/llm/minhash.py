@@ -21,6 +21,8 @@ BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
 #: Members of a bucket that become middles in the first round after the two stars, and the factor from round to round.
 MIDDLES, GROWTH = 4, 4
+#: Steps of differences from a middle in which partners are looked for before pairs are made.
+STEPS = 64
 #: Up to so many ids of documents to compare are sent to every task that reads the corpus (8 bytes each).
 SENT_IDS = 2_000_000
 
@@ -130,25 +132,32 @@ def crowded(reps: DataFrame) -> DataFrame:
     return tables.written(members.join(sizes, "bucket"), "buckets")
 
 
-def candidates(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of documents to compare first: in each bucket, all members with two of them.
+def middles(members: DataFrame) -> DataFrame:
+    """bucket, heaviest, random: two members of each bucket, from partial aggregates.
 
-    One middle of a star is the member that meets most others over all its buckets: the origin of a family of copies
-    meets more of them than the copies meet each other. The other is a random member, by a hash of the id alone: buckets that
-    share members share it, and the same pair comes from all of them. So n members of a bucket make
-    fewer than 2n pairs, and buckets are never gathered: middles come from partial aggregates. What the stars leave
-    apart, `joined` compares.
+    One is the member that meets most others over all its buckets: the origin of a family of copies meets more of them
+    than the copies meet each other. The other is a random member, by a hash of the id alone: buckets that share members
+    share it, and the same pair comes from all of them.
     """
     weights = members.groupBy("doc_id").agg(F.sum("size").alias("weight"))
-    weighed = members.join(weights, "doc_id")
-    middles = tables.written(
-        weighed.groupBy("bucket").agg(
+    return tables.written(
+        members.join(weights, "doc_id")
+        .groupBy("bucket")
+        .agg(
             F.max_by("doc_id", F.struct("weight", -F.col("doc_id"))).alias("heaviest"),
             F.min_by("doc_id", F.xxhash64("doc_id")).alias("random"),
         ),
         "middles",
     )
-    pairs = members.join(middles, "bucket").select(
+
+
+def candidates(members: DataFrame, stars: DataFrame) -> DataFrame:
+    """Pairs (a, b) of documents to compare first: in each bucket, all members with its two middles.
+
+    So n members of a bucket make fewer than 2n pairs, and buckets are never gathered. What the stars leave apart,
+    `joined` compares.
+    """
+    pairs = members.join(stars, "bucket").select(
         "doc_id", F.explode(F.array_distinct(F.array("heaviest", "random"))).alias("middle")
     )
     return (
@@ -158,19 +167,71 @@ def candidates(members: DataFrame) -> DataFrame:
     )
 
 
-def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each document and middle, the shingles that one of the two has and the other has not."""
     for whole in batches:
-        for batch in K.parts(whole, "text"):
-            text, hashes = shingles(*K.flat(batch["text"]), SHINGLE)
-            set_a = fingerprints(text, hashes, batch.num_rows)[0][text]
-            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (set_a, hashes)], names=["set_a", "shingle"])
+        for batch in K.parts(whole, "text_a"):
+            n = batch.num_rows
+            (one, own), (other, mid) = (shingles(*K.flat(batch[c]), SHINGLE) for c in ("text_a", "text_b"))
+            marks = [K.mix(fingerprints(pair, hashes, n)[0]) for pair, hashes in ((one, own), (other, mid))]
+            pair, hashes = np.concatenate([one, other]), np.concatenate([own, mid])
+            order = np.lexsort((hashes, pair))
+            pair, hashes = pair[order], hashes[order]
+            twice = np.zeros(len(pair) + 1, bool)
+            twice[1:-1] = (pair[1:] == pair[:-1]) & (hashes[1:] == hashes[:-1])
+            alone = ~(twice[1:] | twice[:-1])
+            pair, hashes = pair[alone], hashes[alone]
+            keys = K.mix(hashes + marks[1][pair])
+            bounds = np.searchsorted(pair, np.arange(n + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["doc_id"], batch["middle"], batch["component"],
+                    pa.array((marks[0] + K.mix(marks[1])).view(np.int64)),
+                    pa.array(np.bincount(one, minlength=n).astype(np.int64)),
+                    pa.ListArray.from_arrays(pa.array(bounds), pa.array(keys.view(np.int64))),
+                ],
+                names=["doc_id", "middle", "component", "part", "n", "keys"],
+            )
 
 
-def common(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """set_a, lone: the shingles of each text of wanted documents that no other such text has (`docs`: see `compared`)."""
-    found = docs.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_listed, "set_a long, shingle long")
-    alone = found.groupBy("shingle").agg(F.count("*").alias("rows"), F.min("set_a").alias("set_a")).where("rows = 1")
-    return alone.groupBy("set_a").agg(F.count("*").alias("lone"))
+def bounds(docs: DataFrame, star: DataFrame) -> DataFrame:
+    """doc_id, middle, u, v of those documents of `star` (doc_id, middle, component) that may be linked across components.
+
+    For documents a, b with the same middle, let d be the number of shingles in which each differs from it, n the size
+    of its set. Both sets differ in d(a) + d(b) - 2k shingles, k of these differences being the same for both. A link
+    needs (100 + PERCENT) (2k - d(a) - d(b)) + (100 - PERCENT) (n(a) + n(b)) >= 0, and k is at most s(a) and s(b): the
+    differences of each that documents of two components or more have. So a link across components needs u(a) <= v(b)
+    and u(b) <= v(a), where u = (100 + PERCENT) d - (100 - PERCENT) n and v = (100 + PERCENT) (2s - d) + (100 - PERCENT) n.
+    Copies of one origin that differ from it in places of their own all fall out here, one by one, not in pairs.
+
+    Documents without any such partner go: per middle, the largest v of all whose u is small enough, by steps of u. An
+    id with several texts has its least u and largest v. Equal hashes only ever raise s, which keeps more.
+    """
+    texts = star
+    for side, name in (("doc_id", "text_a"), ("middle", "text_b")):
+        texts = texts.join(docs.select(F.col("doc_id").alias(side), F.col("text").alias(name)), side)
+    schema = "doc_id long, middle long, component long, part long, n long, keys array<long>"
+    found = tables.written(texts.select("doc_id", "middle", "component", "text_a", "text_b").mapInArrow(_differ, schema), "differ")
+    each = found.select("doc_id", "middle", "component", "part", F.explode("keys").alias("key"))
+    ends = each.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    several = tables.written(ends.where("least <> most").select("key"), "several")
+    row = ["doc_id", "middle", "part"]
+    shared = each.join(several, "key", "left_semi").groupBy(*row).agg(F.count("*").alias("s"))
+    d, s, n = F.size("keys").cast("long"), F.coalesce("s", F.lit(0)), F.col("n")
+    limits = tables.written(
+        found.join(shared, row, "left")
+        .select("doc_id", "middle", ((100 + PERCENT) * d - (100 - PERCENT) * n).alias("u"),
+                ((100 + PERCENT) * (2 * s - d) + (100 - PERCENT) * n).alias("v"))
+        .groupBy("doc_id", "middle").agg(F.min("u").alias("u"), F.max("v").alias("v")),
+        "limits",
+    )
+    span = limits.groupBy("middle").agg(F.min("u").alias("low"), (F.max("u") - F.min("u") + 1).alias("span"))
+    step = lambda x: F.floor((F.col(x) - F.col("low")) * STEPS / F.col("span"))
+    placed = tables.written(limits.join(span, "middle").select("*", step("u").alias("at"), step("v").alias("upto")), "placed")
+    tops = placed.groupBy("middle", "at").agg(F.max("v").alias("top"))
+    tops = tops.groupBy("middle").agg(F.collect_list(F.struct("at", "top")).alias("tops"))
+    best = F.array_max(F.transform(F.filter("tops", lambda x: x["at"] <= F.col("upto")), lambda x: x["top"]))
+    return placed.join(tops, "middle").where(best >= F.col("u")).select("doc_id", "middle", "u", "v")
 
 
 def _several(members: DataFrame) -> DataFrame:
@@ -183,12 +244,11 @@ def _apart(members: DataFrame, upto: int) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) across components, in each bucket of its next middles with all members; and the members left then.
 
     `size` and the hash of a member decide from which number of middles on it is one; at last all are. Of two members
-    the one with the lesser hash compares both. A link needs 85 shared shingles of each 185 of both sets, and what a
-    document has alone is not shared: this drops pairs before they are made.
+    the one with the lesser hash compares both. Pairs that `bounds` shows not to be linked are not made.
     """
     middle = (F.col("place") < F.lit(upto * 2.0**63) / F.col("size")) | (F.col("size") <= upto)
     one, other = members.where(middle).alias("x"), members.alias("y")
-    enough = (100 + PERCENT) * F.least("x.shared", "y.shared") >= PERCENT * (F.col("x.n_shingles") + F.col("y.n_shingles"))
+    enough = (F.col("x.u") <= F.col("y.v")) & (F.col("y.u") <= F.col("x.v"))
     order = F.struct("x.place", "x.doc_id") < F.struct("y.place", "y.doc_id")
     found = one.join(
         other, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component")) & order & enough
@@ -201,30 +261,28 @@ def _apart(members: DataFrame, upto: int) -> tuple[DataFrame, DataFrame]:
 def joined(docs: DataFrame, reps: DataFrame, same: DataFrame) -> DataFrame:
     """(id, component) of linked documents, and of those in `same` (a, b). Every pair that shares a bucket is compared, or is in one component anyhow.
 
-    After the two stars, buckets whose members lie in several components go on: each round takes GROWTH times as many
-    middles and compares them across components only, until no bucket has two components among the members that have
-    not been middles.
+    After the two stars, members of buckets with several components that may be linked across these (`bounds`) go on: each
+    round takes GROWTH times as many middles and compares them across components only, until no bucket has two components
+    among the members that have not been middles.
     """
     members = crowded(reps)
     docs = compared(docs, members)
-    near = alike(reps, candidates(members))
+    stars = middles(members)
+    near = alike(reps, candidates(members, stars))
     found = components(confirmed(docs, near).union(same))
     left = members.join(found, F.col("doc_id") == F.col("id"), "left").select(
-        "doc_id", "set_a", "bucket", "size", F.coalesce("component", "doc_id").alias("component")
+        "doc_id", "bucket", F.coalesce("component", "doc_id").alias("component")
     )
-    left = tables.written(_several(left), "apart")
+    left = tables.written(_several(left.distinct()), "apart")
     if left.isEmpty():
         return found
-    lone = tables.written(common(docs, left.select("doc_id").distinct()), "lone")
-    left = left.join(
-        reps.select("doc_id", "set_a", "n_shingles").join(lone, "set_a", "left").select(
-            "doc_id", "set_a", "n_shingles", (F.col("n_shingles") - F.coalesce("lone", F.lit(0))).alias("shared")
-        ),
-        ["doc_id", "set_a"],
-    ).where(100 * F.col("shared") >= PERCENT * F.col("n_shingles"))
-    left = left.withColumn("place", F.shiftrightunsigned(F.xxhash64("doc_id"), 1))
+    left = tables.written(left.join(stars.select("bucket", F.col("heaviest").alias("middle")), "bucket"), "star")
+    left = left.join(bounds(docs, left.select("doc_id", "middle", "component").distinct()), ["doc_id", "middle"]).drop("middle")
     # `left` goes to a table before buckets are looked at, so that hot ones can be split
     left = tables.written(_several(tables.written(left, "members")), "apart")
+    sizes = left.groupBy("bucket").agg(F.count("*").alias("size"))
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)
+    left = tables.written(left.join(sizes, "bucket").withColumn("place", place), "apart")
     links, upto = [found.select(F.col("id").alias("a"), F.col("component").alias("b"))], MIDDLES
     while not left.isEmpty():
         pairs, rest = _apart(left, upto)
