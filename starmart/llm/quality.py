@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -122,13 +123,22 @@ def chance_of_so_few(hits: Column, trials: Column, rate: float) -> Column:
     return F.when(hits > n * rate, F.lit(1.0)).otherwise(whole)
 
 
+def path() -> list[dict[str, float]]:
+    """Joint settings of all rules, from lenient to strict: each step takes the next cutoff of every rule that has one."""
+    return [
+        {rule.name: float(rule.cutoffs[min(step, len(rule.cutoffs) - 1)]) for rule in RULES}
+        for step in range(max(len(rule.cutoffs) for rule in RULES))
+    ]
+
+
 def cutoffs(counted: DataFrame, labels: DataFrame, risk: float = RISK, doubt: float = DOUBT) -> DataFrame:
-    """stratum, rule, cutoff: the strictest cutoff of each rule that the labelled good documents allow.
+    """stratum, rule, cutoff: the strictest joint setting of all rules that the labelled good documents allow.
 
-    For a stratum, a cutoff is safe if so few of its n good labelled documents exceed it as happens with at most
-    `doubt` / (strata * rules) chance where the true rate is `risk` / rules. Each rule goes from its most lenient cutoff
-    on and stops at the first that is not safe, so its steps need no further correction. With the chance 1 - `doubt`,
-    no stratum then loses more than `risk` of its good documents. Strata with few labels get no cutoff.
+    For a stratum, a setting is safe if so few of its n good labelled documents are rejected by any rule as happens with
+    at most `doubt` / strata chance where the true rate is `risk`. Settings are tested along one `path` fixed beforehand,
+    up to the first that is not safe, so its steps need no further correction; nor do the rules, which are tested as one.
+    With the chance 1 - `doubt`, no stratum then loses more than `risk` of its good documents. Strata with few labels get
+    no cutoff: without any hit, ln(`doubt` / strata) / ln(1 - `risk`) good documents are needed.
     """
     good = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
@@ -138,30 +148,23 @@ def cutoffs(counted: DataFrame, labels: DataFrame, risk: float = RISK, doubt: fl
         .select("doc_id")
     )
     held = counted.where("NOT base_failed").join(good, "doc_id", "left_semi")
-    tests = [(rule, level, cut) for rule in RULES for level, cut in enumerate(rule.cutoffs)]
+    settings = path()
+    hit = [reduce(Column.__or__, [rule.metric() > setting[rule.name] for rule in RULES]) for setting in settings]
     sums = held.groupBy("stratum").agg(
-        F.count("*").alias("good"),
-        *[F.count_if(rule.metric() > cut).alias(f"{rule.name}_{level}") for rule, level, cut in tests],
+        F.count("*").alias("good"), F.array(*[F.count_if(h) for h in hit]).alias("hits")
     )
-    rows = F.array(
+    sums = tables.written(sums.select("stratum", "good", F.posexplode("hits").alias("step", "hits")), "holdout")
+    strata = max(sums.select("stratum").distinct().count(), 1)
+    safe = chance_of_so_few(F.col("hits"), F.col("good"), risk) <= doubt / strata
+    upto = W.partitionBy("stratum").orderBy("step").rowsBetween(W.unboundedPreceding, 0)
+    last = sums.withColumn("safe", F.min(safe).over(upto)).where("safe").groupBy("stratum").agg(F.max("step").alias("step"))
+    of = F.array(
         *[
-            F.struct(
-                F.lit(rule.name).alias("rule"), F.lit(level).alias("level"), F.lit(float(cut)).alias("cutoff"),
-                F.col(f"{rule.name}_{level}").alias("hits"),
-            )
-            for rule, level, cut in tests
+            F.array(*[F.struct(F.lit(name).alias("rule"), F.lit(cut).alias("cutoff")) for name, cut in setting.items()])
+            for setting in settings
         ]
-    )
-    sums = tables.written(sums.select("stratum", "good", F.inline(rows)), "holdout")
-    strata = max(sums.select("stratum").distinct().count(), 1)
-    safe = chance_of_so_few(F.col("hits"), F.col("good"), risk / len(RULES)) <= doubt / (strata * len(RULES))
-    upto = W.partitionBy("stratum", "rule").orderBy("level").rowsBetween(W.unboundedPreceding, 0)
-    return (
-        sums.withColumn("safe", F.min(safe).over(upto))
-        .where("safe")
-        .groupBy("stratum", "rule")
-        .agg(F.min("cutoff").alias("cutoff"))
     )
+    return last.select("stratum", F.inline(of[F.col("step")]))
 
 
 def judged(docs: DataFrame, labels: DataFrame, risk: float = RISK, doubt: float = DOUBT) -> DataFrame:
