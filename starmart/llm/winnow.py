@@ -143,7 +143,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     if known is None:
         windows = windows.join(prints, "print", "left_semi")
-    hint = F.broadcast if few else (lambda df: df)
+    # a phrase of many items is one fingerprint and many rows: what is sent is counted in rows
+    sent_rows = items.limit(SENT_FINGERPRINTS + 1).count()
+    hint = F.broadcast if sent_rows <= SENT_FINGERPRINTS else (lambda df: df)
     same = ["length", "hash"]
     hits = windows.join(hint(items.select(*same).distinct()), same, "left_semi")
     before = W.partitionBy("row").orderBy("start", "length").rowsBetween(W.unboundedPreceding, -1)
