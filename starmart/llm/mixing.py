@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm import tables
+from starmart.llm import folds, tables
 
 #: Without given weights, a source weighs its size to this power: small sources come up more often than they would.
 POWER = 0.7
@@ -44,17 +44,16 @@ def rates(docs: DataFrame, weights: Mapping[str, float] | None = None, total: fl
 
 def steps(rate: Column) -> Column:
     """P(X <= 0), P(X <= 1) ... of a Poisson number, up to where no number below 1 lies beyond."""
-    start = F.struct(F.lit(0).alias("k"), (-rate).alias("log"), F.exp(-rate).alias("sum"), F.array(F.exp(-rate)).alias("all"))
+    first = F.exp(-rate)
     last = F.ceil(rate + 12 * F.sqrt(rate) + 40).cast("int")
+    start = F.struct((-rate).alias("log"), first.alias("sum"))
 
     def onward(state: Column, k: Column) -> Column:
         log = state["log"] + F.log(rate) - F.log(k.cast("double"))
-        total = state["sum"] + F.exp(log)
-        return F.struct(k.alias("k"), log.alias("log"), total.alias("sum"), F.concat(state["all"], F.array(total)).alias("all"))
+        return F.struct(log.alias("log"), (state["sum"] + F.exp(log)).alias("sum"))
 
-    return F.when(rate > 0, F.aggregate(F.sequence(F.lit(1), last), start, onward, lambda s: s["all"])).otherwise(
-        F.array(F.lit(1.0))
-    )
+    later = folds.scan(F.sequence(F.lit(1), last), start, onward, lambda state, k: onward(state, k)["sum"], "double")
+    return F.when(rate > 0, F.concat(F.array(first), later)).otherwise(F.array(F.lit(1.0)))
 
 
 def copies(docs: DataFrame, weights: Mapping[str, float] | None = None, total: float | None = None, seed: int = SEED) -> DataFrame:

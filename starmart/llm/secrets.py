@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm import tables
+from starmart.llm import folds, tables
 
 # The patterns of the base kinds.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -43,20 +43,30 @@ KINDS = (
 def _spans(text: Column, pattern: str, keep=lambda match: F.lit(True)) -> Column:
     """(start, end) of the leftmost matches that don't overlap, without those that `keep` refuses.
 
-    Matches come as texts, in order. Each begins at the first occurrence of its characters after the match before it:
-    had they stood earlier, the pattern would have matched there. So patterns must not look around.
+    The text is split around its matches; what lies before a match and the match itself add up to its place. Patterns
+    must not match nothing.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
-    def onward(state: Column, match: Column) -> Column:
-        start = F.call_function("locate", match, text, state["to"] + 1) - 1
-        end = start + F.length(match)
-        span = F.struct(start.alias("start"), end.alias("end"))
-        spans = F.when(keep(match), F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct(end.alias("to"), spans.alias("spans"))
+    def pieces(found: Column) -> Column:
+        before = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        return F.zip_with(
+            before,
+            found,
+            lambda gap, match: F.struct(F.length(gap).alias("gap"), F.length(match).alias("size"), keep(match).alias("kept")),
+        )
+
+    def span(at: Column, piece: Column) -> Column:
+        start = at + piece["gap"]
+        return F.struct(start.alias("start"), (start + piece["size"]).alias("end"), piece["kept"].alias("kept"))
+
+    def placed(found: Column) -> Column:
+        to = lambda at, piece: at + piece["gap"] + piece["size"]
+        spans = folds.scan(pieces(found), F.lit(0), to, span, "struct<start:int,end:int,kept:boolean>")
+        return F.transform(F.filter(spans, lambda s: s["kept"]), lambda s: F.struct(s["start"], s["end"]))
 
     empty = F.array().cast("array<struct<start:int,end:int>>")
-    return F.aggregate(found, F.struct(F.lit(0).alias("to"), empty.alias("spans")), onward, lambda s: s["spans"])
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return folds.within(found, lambda f: F.when(F.size(f) > 0, placed(f)).otherwise(empty))
 
 
 def _mixed_case(match: Column) -> Column:
@@ -130,7 +140,8 @@ def secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Per row: doc_id, n_assign, n_access, n_hex, base (spans of the base kinds), spans (these and the linked weak ones).
 
     Spans are kind:start:end in code points, end exclusive, by start and then by kind. Null texts are empty. Equal rows
-    have equal results; rows without id are searched like others.
+    have equal results; rows without id are searched like others. Texts of any length are searched whole, in time that
+    grows little faster than their length and their matches. Empty tables give none.
     """
     found = tables.written(parts(docs), "parts")
     base = F.concat(*[_tagged(k) for k in KINDS if not k.weak])
