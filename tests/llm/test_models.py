@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from starmart.llm import language, toxicity
+from starmart.llm import kernels, language, toxicity
 
 SF_DIR, LARGER = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 ODD = [(1, None, None), (2, "", "en"), (3, "12 ...", "en"), (4, "The of and", None), (None, "der die das", "de"), (4, "The of and", None), (5, "aaa " * 200_000, None)]
@@ -92,3 +95,27 @@ def test_features_of_insults():
     found = {n: v for n, v in zip(toxicity.FEATURES, toxicity.measure(texts, lexicon).T)}
     assert found["lexicon_count"].tolist() == [1, 0, 0, 0, 0] and found["near_rate"][0] > 0 == found["near_rate"][2]
     assert found["obfuscated_count"].tolist() == [0, 1, 0, 0, 0] and found["capital_rate"][0] > found["capital_rate"][2]
+
+
+def test_grams_of_languages_are_those_of_a_plain_count():
+    """Every n-gram whose inner bytes are letters, with any other byte at its ends taken for the same edge."""
+    texts = [" ", " é ", " the cat, the cat 42 sat ", " a-b ñandú x ", "  ", " " + "abc de " * 3000, " ß1ß22ß "]
+    plain = []
+    for text in texts:
+        marks = [b if 0x61 <= b <= 0x7A or b >= 0x80 else -1 for b in text.encode()]
+        found = Counter()
+        for n in language.GRAMS:
+            for i in range(len(marks) - n + 1):
+                gram = tuple(marks[i : i + n])
+                if -1 not in gram[1:-1]:
+                    found[gram] += 1
+        plain.append(found)
+    hashed = [Counter() for _ in texts]
+    for of, grams in language._grams(*kernels.flat(pa.array(texts))):
+        for i, gram in zip(of.tolist(), grams.tolist()):
+            hashed[i][gram] += 1
+    assert [sorted(c.values()) for c in hashed] == [sorted(c.values()) for c in plain]
+    # n-grams that two texts share are the same ones, so equal n-grams have equal hashes and others do not
+    for a in range(len(texts)):
+        for b in range(len(texts)):
+            assert sum((hashed[a] & hashed[b]).values()) == sum((plain[a] & plain[b]).values())

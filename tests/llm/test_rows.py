@@ -177,6 +177,19 @@ def test_lookup_table_is_fair_and_stable():
             sharding.lookup_table(*bad)
 
 
+@pytest.mark.parametrize("names, slots", [(("a",), 2), (("a", "b", "c"), 3), (tuple("abcdefg"), 101), (sharding.SHARDS, 4099)])
+def test_lookup_table_equals_turns_over_written_out_preferences(names, slots):
+    number = lambda text: int(hashlib.md5(text.encode()).hexdigest()[:13], 16)
+    wishes = {n: [(number(f"start:{n}") + j * (number(f"step:{n}") % (slots - 1) + 1)) % slots for j in range(slots)] for n in names}
+    assert all(sorted(w) == list(range(slots)) for w in wishes.values())
+    owner, left = {}, {n: iter(w) for n, w in wishes.items()}
+    while len(owner) < slots:
+        for n in names:
+            if len(owner) < slots:
+                owner[next(slot for slot in left[n] if slot not in owner)] = n
+    assert [names[i] for i in sharding.lookup_table(names, slots)] == [owner[slot] for slot in range(slots)]
+
+
 def test_placement(spark, frame, empty):
     table = sharding.lookup_table()
     docs = frame.withColumn("slot", F.lit("old")).union(frame.limit(1).withColumn("slot", F.lit("old"))).union(
