@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,6 +23,8 @@ from starmart.llm import tables
 
 #: Bytes of text, about, whose words share one list.
 PACK = 16 << 20
+#: Documents decoded at a time: ids and texts of a whole batch of Spark's take too much memory beside each other.
+ROWS = 256
 
 _MARK = "▁"
 _WORD = re.compile(" +[^ ]*")
@@ -76,27 +80,28 @@ def _small(ids: int) -> type:
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents in packs of some size. A pack is named by its place and its content."""
     at = TaskContext.get().partitionId()
-    ids, texts, size, count = [], [], 0, 0
+    lines, size, count = [], 0, 0
 
     def pack() -> pa.RecordBatch:
-        data = json.dumps([ids, texts], ensure_ascii=False).encode()
+        data = b"\n".join(lines)
         name = f"{at}-{count}-{hashlib.blake2b(data, digest_size=16).hexdigest()}"
         return pa.RecordBatch.from_pydict({"pack": [name], "data": pa.array([zstandard.compress(data)], pa.binary())})
 
     for batch in batches:
         for doc_id, text in zip(batch["doc_id"], batch["text"]):
-            ids.append(doc_id.as_py())
-            texts.append(text.as_py() or "")
-            size += len(texts[-1])
-            if size >= PACK or len(ids) >= PACK >> 6:
+            text = text.as_py() or ""
+            lines.append(json.dumps([doc_id.as_py(), text], ensure_ascii=False).encode())
+            size += len(text)
+            if size >= PACK or len(lines) >= PACK >> 6:
                 yield pack()
-                ids, texts, size, count = [], [], 0, count + 1
-    if ids:
+                lines, size, count = [], 0, count + 1
+    if lines:
         yield pack()
 
 
-def _read(data: bytes) -> list:
-    return json.loads(zstandard.decompress(data))
+def _documents(data: bytes) -> Iterator[list]:
+    """Id and text of the documents of a pack, one at a time."""
+    return map(json.loads, io.BytesIO(zstandard.decompress(data)))
 
 
 def _listed(parts: int):
@@ -105,7 +110,7 @@ def _listed(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for pack, data in zip(batch["pack"], batch["data"]):
-                found = list(dict.fromkeys(w for text in _read(data.as_py())[1] for w in _words(text)))
+                found = list(dict.fromkeys(w for _, text in _documents(data.as_py()) for w in _words(text)))
                 part = _parts(found, parts)
                 order = np.argsort(part, kind="stable")
                 used, heads = np.unique(part[order], return_index=True)
@@ -124,17 +129,23 @@ def _segmented(model):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = processor(model.value)
-        kind = _small(cut.get_piece_size())
-        known: dict[str, list[int]] = {}
+        kind = np.dtype(_small(cut.get_piece_size()))
+        number = _Numbers()
+        pieces, ends = array(kind.char, [0]), array("q", [1])  # of the words by number, after one entry of none
         for batch in batches:
             out = []
             for data in batch["words"]:
-                words = _read(data.as_py())
-                fresh = [w for w in words if w not in known]
-                known.update(zip(fresh, _ids(cut, fresh)))
-                ids = [known[w] for w in words]
-                sizes = np.array([len(x) for x in ids], np.uint32)
-                out.append(zstandard.compress(sizes.tobytes() + np.array([i for x in ids for i in x], kind).tobytes()))
+                words = json.loads(zstandard.decompress(data.as_py()))
+                had = len(number)
+                place = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+                for own in _ids(cut, [words[i] for i in np.flatnonzero(place >= had)]):
+                    pieces.extend(own)
+                    ends.append(len(pieces))
+                bounds = np.frombuffer(ends, np.int64)
+                first, last = bounds[place], bounds[place + 1]
+                ids = np.frombuffer(pieces, kind)[K.ranges(first, last)]
+                del bounds  # what is looked at cannot grow
+                out.append(zstandard.compress((last - first).astype(np.uint32).tobytes() + ids.tobytes()))
             yield pa.RecordBatch.from_arrays([batch["pack"], batch["part"], pa.array(out, pa.binary())], names=["pack", "part", "ids"])
 
     return run
@@ -149,11 +160,13 @@ def _joined(parts: int, model):
         found = {p.as_py(): ids.as_py() for p, ids in zip(right["part"], right["ids"])}
         docs, bounds, values = [], [0], []
         for data in left["data"]:
-            ids, texts = _read(data.as_py())
-            number = _Numbers()
-            places = [np.fromiter(map(number.__getitem__, _words(text)), np.int32) for text in texts]
-            part = _parts(number, parts)
-            order, count = np.argsort(part, kind="stable"), len(number)
+            number, places = _Numbers(), []
+            for doc_id, text in _documents(data.as_py()):
+                docs.append(doc_id)
+                places.append(np.fromiter(map(number.__getitem__, _words(text)), np.int32))
+            part, count = _parts(number, parts), len(number)
+            del number
+            order = np.argsort(part, kind="stable")
             sizes, pieces = [np.zeros(0, np.uint32)], []
             for used, words in zip(*np.unique(part, return_counts=True)):
                 if used not in found:
@@ -166,12 +179,16 @@ def _joined(parts: int, model):
             first, last = np.empty(count + 1, np.int64), np.empty(count + 1, np.int64)
             order = np.append(order, count)  # the end id, as if it were one more word
             first[order], last[order] = np.r_[0, ends[:-1]], ends
-            for doc_id, place in zip(ids, places):
+            lengths = [int((last[place] - first[place]).sum()) + 1 for place in places]
+            value = np.empty(sum(lengths), np.int32)
+            at = 0
+            for place, length in zip(places, lengths):
                 place = np.append(place, count)
-                values.append(pieces[K.ranges(first[place], last[place])].astype(np.int32))
-                docs.append(doc_id)
-                bounds.append(bounds[-1] + len(values[-1]))
-        flat = np.concatenate(values) if values else np.zeros(0, np.int32)
+                value[at : at + length] = pieces[K.ranges(first[place], last[place])]
+                at += length
+                bounds.append(bounds[-1] + length)
+            values.append(value)
+        flat = values[0] if len(values) == 1 else np.concatenate([np.zeros(0, np.int32), *values])
         return pa.table([pa.array(docs, pa.int64()), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))], names=["doc_id", "ids"])
 
     return run
@@ -214,6 +231,11 @@ def encoded(docs: DataFrame, model: bytes) -> DataFrame:
     return packs.groupBy("pack").cogroup(segmented.groupBy("pack")).applyInArrow(_joined(parts, sent), "doc_id long, ids array<int>")
 
 
+def _texts(cut, lists: pa.Array) -> list[str]:
+    """What the library makes of each list of ids. It gets them as arrays: a Python number per id takes longer than decoding it."""
+    return [cut.decode(ids.values.to_numpy() if ids.is_valid else []) for ids in lists]
+
+
 def decoded(rows: DataFrame, model: bytes) -> DataFrame:
     """doc_id, ids, and `text`: what the library makes of the ids. Null ids count as none, ids without a piece raise."""
     sent = rows.sparkSession.sparkContext.broadcast(model)
@@ -221,8 +243,10 @@ def decoded(rows: DataFrame, model: bytes) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = processor(sent.value)
         for batch in batches:
-            texts = [cut.decode(ids.values.to_pylist() if ids.is_valid else []) for ids in batch["ids"]]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
+            for at in range(0, batch.num_rows, ROWS):
+                own = batch.slice(at, ROWS)
+                texts = pa.array(_texts(cut, own["ids"]), pa.string())
+                yield pa.RecordBatch.from_arrays([*own.columns, texts], names=["doc_id", "ids", "text"])
 
     return rows.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import math
 import re
+import time
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from starmart.llm import lexical, pieces, whitening
@@ -107,6 +112,54 @@ def test_words_are_cut_before_marks(model):
         assert [i for own in pieces._ids(cut, words) for i in own] == cut.encode(text)
 
 
+def test_ids_are_decoded_without_a_python_number_each(model):
+    cut = pieces.processor(model)
+    texts = ["", "a b", " é  😀 ▁", "\x00 <unk> 漢字 x", "one two three " * 20_000]
+    lists = [cut.encode(t, add_eos=True) for t in texts] + [[], [0, 1, 2, 3, 200, 255, 5]]
+    column = pa.array([[7], *lists, None], pa.list_(pa.int32())).slice(1)
+    assert pieces._texts(cut, column) == [*(cut.decode(ids) for ids in lists), ""]
+    for wrong in ([1, None], [cut.get_piece_size()], [-1]):
+        with pytest.raises((IndexError, TypeError, pa.ArrowInvalid)):
+            pieces._texts(cut, pa.array([wrong], pa.list_(pa.int32())))
+    long, own = column.slice(4, 1), lists[4]
+
+    def least(work):
+        taken = []
+        for _ in range(5):
+            before = time.process_time()
+            work()
+            taken.append(time.process_time() - before)
+        return min(taken)
+
+    assert least(lambda: pieces._texts(cut, long)) < 2 * least(lambda: cut.decode(own))
+
+
+def test_many_rows_are_decoded(spark, model):
+    count = 2 * pieces.ROWS + 7
+    ids = F.array((F.col("id") % 200 + 300).cast("int"), F.lit(5000), F.lit(2))
+    rows = spark.range(0, count, 1, 1).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 9 > 0, ids).alias("ids"))
+    cut = pieces.processor(model)
+    got = {r.doc_id: (r.ids, r.text) for r in pieces.decoded(rows, model).collect()}
+    want = {i: [i % 200 + 300, 5000, 2] if i % 9 else None for i in range(count)}
+    assert got == {i: (own, cut.decode(own or [])) for i, own in want.items()}
+
+
+def test_words_of_later_lists(model):
+    cut = pieces.processor(model)
+    lists = [["one", "", "漢字😀"], ["one", "of", "Donaudampfschiff"], ["Donaudampfschiff"], ["of", " x", "two", "one"]]
+    sent = [zstandard.compress(json.dumps(own).encode()) for own in lists]
+    batches = [
+        pa.RecordBatch.from_pydict({"part": [3] * len(own), "pack": [f"{own[0]}"] * len(own), "words": [sent[i] for i in own]})
+        for own in ([0, 1], [2, 3])
+    ]
+    out = pa.Table.from_batches(pieces._segmented(SimpleNamespace(value=model))(batches))
+    assert out["pack"].to_pylist() == ["0", "0", "2", "2"] and out["part"].to_pylist() == [3] * 4
+    for words, data in zip(lists, out["ids"].to_pylist()):
+        raw, want = zstandard.decompress(data), pieces._ids(cut, words)
+        assert np.frombuffer(raw, np.uint32, len(words)).tolist() == [len(own) for own in want]
+        assert np.frombuffer(raw, np.uint16, offset=4 * len(words)).tolist() == [i for own in want for i in own]
+
+
 def test_other_models_are_refused(model, monkeypatch):
     class Crossing:
         def __init__(self, **_):
